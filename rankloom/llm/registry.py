@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from . import sharding
+from . import mixing, quality, sharding
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
+    "op6_quality_rules": quality.op6_quality_rules,
+    "op8_mixing": mixing.op8_mixing,
+}
+ORACLE: dict[str, str] = {
+    "op6_quality_rules": quality.OP6_SQL,
+    "op8_mixing": mixing.OP8_SQL,
 }
-ORACLE: dict[str, str] = {}
