@@ -25,7 +25,7 @@ LEAST_GROUP = 50
 RULES = {
     "symbols": ("least(1000, n_symbols * 1000 div greatest(1, word_chars + n_symbols))", 40),
     "lines": ("least(1000, n_dup_lines * 1000 div (n_lines + 4))", 300),
-    "repeats": ("least(1000, n_repeat_words * 1000 div greatest(1, n_words))", 200),
+    "repeats": ("least(1000, n_repeat_words * 1000 div greatest(1, n_words))", 500),
     "length": ("least(1000, word_chars * 10 div greatest(1, n_words))", 60),
 }
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
