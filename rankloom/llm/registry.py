@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing, quality, sharding
+from . import mixing, pieces, quality, sharding
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
+    "op3_sentencepiece": pieces.op3_sentencepiece,
     "op6_quality_rules": quality.op6_quality_rules,
     "op8_mixing": mixing.op8_mixing,
 }
