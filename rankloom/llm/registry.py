@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, pieces, quality, sharding
+from . import mixing, pieces, quality, sharding, simhash
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op3_sentencepiece": pieces.op3_sentencepiece,
+    "op5_simhash": simhash.op5_simhash,
     "op6_quality_rules": quality.op6_quality_rules,
     "op8_mixing": mixing.op8_mixing,
 }
