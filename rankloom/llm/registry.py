@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, pieces, quality, sharding, simhash
+from . import linededup, mixing, pieces, quality, sharding, simhash
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -10,8 +10,10 @@ QUERIES = {
     "op5_simhash": simhash.op5_simhash,
     "op6_quality_rules": quality.op6_quality_rules,
     "op8_mixing": mixing.op8_mixing,
+    "op9_line_dedup": linededup.op9_line_dedup,
 }
 ORACLE: dict[str, str] = {
     "op6_quality_rules": quality.OP6_SQL,
     "op8_mixing": mixing.OP8_SQL,
+    "op9_line_dedup": linededup.OP9_SQL,
 }
