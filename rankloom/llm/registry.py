@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import linededup, mixing, pieces, quality, sharding, simhash
+from . import exactdedup, linededup, mixing, pieces, quality, sharding, simhash
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
+    "op2_exact_dedup": exactdedup.op2_exact_dedup,
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op5_simhash": simhash.op5_simhash,
     "op6_quality_rules": quality.op6_quality_rules,
@@ -13,6 +14,7 @@ QUERIES = {
     "op9_line_dedup": linededup.op9_line_dedup,
 }
 ORACLE: dict[str, str] = {
+    "op2_exact_dedup": exactdedup.OP2_SQL,
     "op6_quality_rules": quality.OP6_SQL,
     "op8_mixing": mixing.OP8_SQL,
     "op9_line_dedup": linededup.OP9_SQL,
