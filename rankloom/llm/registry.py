@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import exactdedup, htmlmain, linededup, mixing, pieces, quality, sharding, simhash, warc
+from . import exactdedup, htmlmain, linededup, mixing, pieces, quality, sharding, simhash, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op2_exact_dedup": exactdedup.op2_exact_dedup,
     "op3_sentencepiece": pieces.op3_sentencepiece,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_simhash": simhash.op5_simhash,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_html_extraction": htmlmain.op7_html_extraction,
