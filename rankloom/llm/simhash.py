@@ -16,6 +16,7 @@ worked off in blocks of rows: memory stays bounded and no pair is dropped.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -51,12 +52,7 @@ def fingerprint(text: str, width: int = SHINGLE) -> int:
     n = len(found) - width + 1
     shingles = map(b" ".join, zip(*[found[i:] for i in range(width)])) if n > 1 else [b" ".join(found)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, SEED) for s in shingles), np.uint64, max(n, 1))
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 65536):
-        part = hashes[at : at + 65536]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    return _majority(np.fromiter((digest(s, SEED) for s in shingles), np.uint64, max(n, 1)))
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int = SHINGLE) -> DataFrame:
@@ -192,14 +188,197 @@ def hex16(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+#: Words of a shingle, similarity (in twentieths) and largest distance of five-word fingerprints in one_of_each().
+#: At Jaccard similarity 0.8 fingerprints of 64 bits differ by 9.7 bits, with a standard deviation of 2.9.
+WIDTH, TWENTIETHS, REACH = 5, 16, 22
+#: MinHash bands under which one_of_each() looks for pairs, and values in each.
+BANDS, ROWS = 32, 6
+#: Rows of one band value that are compared pair by pair at once.
+SMALL = 32
+_MIX = np.random.default_rng(20240502).integers(1, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
+
+
+def shingle_set(text: str, width: int = WIDTH) -> np.ndarray:
+    """Sorted distinct XXH64 values of a text's word shingles; fewer words make one, a text without words the empty one."""
+    import xxhash
+
+    found = text.encode("utf-8", "surrogatepass").lower().split()
+    n = len(found) - width + 1
+    shingles = map(b" ".join, zip(*[found[i:] for i in range(width)])) if n > 1 else [b" ".join(found)]
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(s, SEED) for s in shingles), np.uint64, max(n, 1)))
+
+
+def _majority(hashes: np.ndarray) -> int:
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 65536):
+        ones += np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """A number for each band: the mix of its smallest values under ROWS hash functions."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 2048):
+        part = hashes[at : at + 2048, None] * _MIX[0] + _MIX[1]
+        np.minimum(least, (part ^ (part >> np.uint64(29))).min(axis=0), out=least)
+    keys = np.arange(BANDS, dtype=np.uint64) + np.uint64(1)
+    for column in least.reshape(BANDS, ROWS).T:
+        keys = (keys ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(32)
+    return keys
+
+
+def _sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """doc_id, digest, fp and band keys of every row with an id."""
+    ship(docs.sparkSession)
+    given = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_py() for t in batch.column("text")]
+            sets = [shingle_set(t, width) for t in texts]
+            keys = np.concatenate([np.zeros(0, np.uint64), *[band_keys(s) for s in sets]]).view(np.int64)
+            digests = [hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest() for t in texts]
+            fps = np.array([_majority(s) for s in sets], np.uint64).view(np.int64)
+            ends = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(fps), pa.ListArray.from_arrays(ends, pa.array(keys))], ["doc_id", "digest", "fp", "keys"])
+
+    return given.mapInArrow(run, "doc_id long, digest binary, fp long, keys array<long>")
+
+
+def _close(fp: np.ndarray, i: np.ndarray, j: np.ndarray, reach: int) -> np.ndarray:
+    """Which of the pairs i, j lie within reach: no pivot coordinate differs by more, and then their bits."""
+    near = np.ones(len(i), bool)
+    for p in PIVOTS:
+        at = np.bitwise_count(fp ^ p).astype(np.int16)
+        near &= np.abs(at[i] - at[j]) <= reach
+    near[near] = np.bitwise_count(fp[i[near]] ^ fp[j[near]]) <= reach
+    return near
+
+
+def _pairs(doc: np.ndarray, fp: np.ndarray, root: np.ndarray | None, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs among the rows of one band value, in the order of their ids.
+
+    Up to SMALL rows: all.  Above: each row with the one before it and the first two, which links groups of
+    copies by few pairs.  With root (of the components these gave): all pairs of different components, in blocks.
+    """
+    n, out = len(doc), []
+    if root is not None:
+        for a in range(0, n, BLOCK):
+            for b in range(a, n, BLOCK):
+                i, j = np.nonzero(root[a : a + BLOCK, None] != root[None, b : b + BLOCK])
+                i, j = i + a, j + b
+                i, j = i[i < j], j[i < j]
+                near = _close(fp, i, j, reach)
+                out.append((doc[i[near]], doc[j[near]]))
+    elif n <= SMALL:
+        i, j = np.triu_indices(n, 1)
+        near = _close(fp, i, j, reach)
+        out.append((doc[i[near]], doc[j[near]]))
+    else:
+        at = np.arange(n)
+        for i, j in ((at[:-1], at[1:]), (np.zeros(n - 1, np.int64), at[1:]), (np.ones(n - 2, np.int64), at[2:])):
+            near = _close(fp, i, j, reach)
+            out.append((doc[i[near]], doc[j[near]]))
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *[o[0] for o in out]]), np.concatenate([none, *[o[1] for o in out]])
+
+
+def _in_bands(entries: DataFrame, reach: int, by_root: bool) -> DataFrame:
+    """Distinct candidate pairs a < b of entries (key, doc_id, fp, and root if by_root)."""
+    ship(entries.sparkSession)
+    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = ["key", "doc_id", "fp", *["root"] * by_root]
+    rows = entries.select(*names).repartition(n, "key").sortWithinPartitions("key", "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+
+        def done(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            key, doc, fp, *root = (np.concatenate(x) for x in zip(*parts, strict=True))
+            starts = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0]
+            ends = np.append(starts[1:], len(key))
+            more = ends - starts > 1
+            found = [_pairs(doc[a:b], fp[a:b].view(np.uint64), root[0][a:b] if root else None, reach) for a, b in zip(starts[more].tolist(), ends[more].tolist(), strict=True)]
+            if found:
+                a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        for batch in batches:
+            x = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names]
+            if not len(x[0]):
+                continue
+            if held and held[-1][0][-1] != x[0][0]:
+                yield from done(held)
+                held = []
+            differs = np.nonzero(x[0][1:] != x[0][:-1])[0]
+            last = int(differs[-1]) + 1 if len(differs) else 0
+            if last:
+                yield from done([*held, [c[:last] for c in x]])
+                held = []
+            held.append([c[last:] for c in x])
+        if held:
+            yield from done(held)
+
+    return rows.mapInArrow(run, "a long, b long").filter("a <> b").distinct()
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, twentieths: int) -> DataFrame:
+    """The pairs whose shingle sets have at least the similarity, on the whole texts of the rows in them."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("__id")).distinct()
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).join(ids, F.col("doc_id") == F.col("__id"), "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [pa.array(shingle_set(t.as_py(), width).view(np.int64)) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "s"])
+
+    sets = given.mapInArrow(run, "doc_id long, s array<long>")
+    left, right = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
+    both = F.size(F.array_intersect("sa", "sb"))
+    enough = both * (20 + twentieths) >= (F.size("sa") + F.size("sb")) * twentieths
+    return pairs.join(left, "a").join(right, "b").filter(enough).select("a", "b").distinct()
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, twentieths: int = TWENTIETHS, reach: int = REACH) -> DataFrame:
+    """doc_id and class_id (smallest doc_id reachable) of every row with an id, by similarity of word shingles.
+
+    Texts link if they are equal or their sets of `width`-word shingles have a Jaccard similarity of at least
+    twentieths / 20.  Blocks of equal fingerprint bits can't find pairs 10 bits apart, so documents meet
+    under MinHash bands (at similarity 0.8 a pair shares one of them but for 1 in 10,000); pairs beyond
+    `reach` bits are discarded by pivot distances and fingerprints, and survivors verified on whole texts.
+    Exact copies are folded first.  A band value of many documents gives few pairs; where their verified
+    links leave it in several components, all pairs across them are looked at too.
+    Rows that share an id are one document; those without an id are left out.
+    """
+    sketch = materialize(_sketches(docs, id_col, text_col, width), "sketches")
+    folded = sketch.groupBy("digest").agg(F.min(F.struct("doc_id", "fp", "keys")).alias("m"))
+    reps = materialize(folded.select("digest", "m.*"), "distinct-texts")
+    entries = reps.select(F.explode("keys").alias("key"), "doc_id", "fp")
+    pairs = materialize(_in_bands(entries, reach, False), "candidate-pairs")
+    edges = materialize(_verified(pairs, docs, id_col, text_col, width, twentieths), "links")
+    found = components(edges)
+    rooted = entries.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    open_keys = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter((F.col("n") > SMALL) & (F.col("lo") < F.col("hi")))
+    rest = materialize(_in_bands(rooted.join(open_keys.select("key"), "key", "left_semi"), reach, True).join(pairs, ["a", "b"], "left_anti"), "further-pairs")
+    if not rest.isEmpty():
+        found = components(edges.unionByName(_verified(rest, docs, id_col, text_col, width, twentieths)))
+    label = reps.select("digest", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("digest", F.coalesce("root", "doc_id").alias("class_id"))
+    return sketch.select("doc_id", "digest").join(label, "digest").select("doc_id", "class_id")
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: int) -> DataFrame:
-    """The rows of docs that stand for their groups: those whose id is its group's smallest.
+    """The rows of docs that stand for their classes (see classes()): those whose id is the class's smallest.
 
-    Rows that repeat an id leave one row; rows of null id stay only where their group has no other id.
+    Rows that repeat a staying id leave one row; rows without an id all stay.  An empty table gives no rows.
     """
-    staying = near_duplicates(docs, id_col, text_col, **how).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keys = staying.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(keys, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi").dropDuplicates([id_col])
+    known = materialize(classes(docs, id_col, text_col, **how), "classes")
+    staying = known.filter("doc_id = class_id")
+    repeats = not staying.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+    out = docs.join(staying.select(F.col("doc_id").alias("__id")).distinct(), F.col(id_col) == F.col("__id"), "left_semi")
+    out = out.dropDuplicates([id_col]) if repeats else out
+    return out.unionByName(docs.filter(F.col(id_col).isNull()))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
