@@ -35,7 +35,7 @@ def json_list(c: str | Column) -> Column:
 
 def parse_refs(c: str | Column) -> Column:
     """The parsable references of a JSON list column, in order."""
-    return F.filter(F.transform(json_list(c), parse_ref), lambda r: r.isNotNull())
+    return F.filter(F.transform(json_list(c), lambda x: parse_ref(x)), lambda r: r.isNotNull())
 
 
 def reference_contexts(c: str | Column) -> Column:
