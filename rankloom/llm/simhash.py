@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankloom.operators.graph import components
+
 from .common import documents, materialize, ship, text_or_empty
-from .graph import components
 
 SHINGLE = 3
 RADIUS = 2
