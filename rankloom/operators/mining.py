@@ -78,6 +78,16 @@ def rrf(first: DataFrame, second: DataFrame, k: int = RRF_K) -> DataFrame:
     return fused.withColumn("rank", F.row_number().over(w).cast("long")).drop("seen")
 
 
+def reached(candidates: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The rows of candidates that the walk of judged() asks the judge about; a row without a tier counts as rejected."""
+    by_file = Window.partitionBy("q", "file").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("q").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    ok = F.col("tier").isNotNull().cast("int")
+    open_rows = candidates.filter(~F.col("near_dup")).withColumn("__in_file", F.coalesce(F.sum(ok).over(by_file), F.lit(0)))
+    seen = open_rows.filter(F.col("__in_file") < limits.per_file).withColumn("__judged", F.count(F.lit(1)).over(upto)).withColumn("__accepted", F.coalesce(F.sum(ok).over(upto), F.lit(0)))
+    return seen.filter((F.col("__judged") < limits.judge_calls) & (F.col("__accepted") < 2 * limits.desired))
+
+
 def judged(candidates: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The chosen negatives (q, id, file, page, tier, position) of candidates (q, id, file, page, rank, near_dup, tier).
 
@@ -85,12 +95,7 @@ def judged(candidates: DataFrame, limits: Limits = Limits()) -> DataFrame:
     ones are skipped unjudged; the walk ends with judge_calls verdicts or twice the desired accepted ones;
     tier 1 then fills the places before tier 2.  Lists are at most the pool's length.
     """
-    by_file = Window.partitionBy("q", "file").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("q").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    ok = F.col("tier").isNotNull().cast("int")
-    open_rows = candidates.filter(~F.col("near_dup")).withColumn("__in_file", F.coalesce(F.sum(ok).over(by_file), F.lit(0)))
-    seen = open_rows.filter(F.col("__in_file") < limits.per_file).withColumn("__judged", F.count(F.lit(1)).over(upto)).withColumn("__accepted", F.coalesce(F.sum(ok).over(upto), F.lit(0)))
-    kept = seen.filter((F.col("__judged") < limits.judge_calls) & (F.col("__accepted") < 2 * limits.desired) & F.col("tier").isNotNull())
+    kept = reached(candidates, limits).filter(F.col("tier").isNotNull())
     w = Window.partitionBy("q").orderBy("tier", "rank")
     return kept.withColumn("position", F.row_number().over(w).cast("long")).filter(F.col("position") <= limits.desired).select("q", "id", "file", "page", "tier", "position")
 
