@@ -39,7 +39,8 @@ LEAST_TEXTS = 3
 LEAST_TOXIC = 15
 #: Words that are scored at a time.
 CHUNK = 1 << 16
-_CACHE = 1_000_000
+#: Words whose responses a task keeps; it forgets all when full, which changes no score.
+_CACHE = 200_000
 _MARKS = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»“”„‘’…–—¡¿"
 
 
@@ -107,6 +108,7 @@ class Model:
         if len(self.words.bags) > len(self.responses):
             self.responses = np.concatenate([self.responses, np.zeros((max(len(new), len(self.responses)), self.responses.shape[1]), np.float32)])
         self.responses[self.known : len(self.words.bags)] = np.concatenate([new @ t[j] for t in self.taps for j in range(len(t))], axis=1)
+        self.words.bags[self.known :] = [None] * len(new)  # only their responses are needed from now on
         self.known = len(self.words.bags)
 
     def logit(self, text: str) -> float:
