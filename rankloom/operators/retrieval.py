@@ -23,6 +23,8 @@ TOP_K = (1, 5, 10, 20)
 BLOCK_BYTES = 32 << 20
 #: Corpus rows that are multiplied at a time.
 ROWS = 4096
+#: Targets whose ranks are counted in one pass.
+MOST_TARGETS = 2_000_000
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -58,7 +60,17 @@ class TopK:
 
 
 def query_blocks(queries: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and unit vectors of queries (columns q, vec), in blocks of bounded size."""
+    """Ids in order and unit vectors of queries (columns q, vec), in blocks of bounded size."""
+    queries = queries.select(F.col("q").cast("long").alias("q"), F.col("vec").cast("array<double>").alias("vec")).filter("vec is not null")
+    all_of = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dims")).first()
+    if not all_of["n"]:
+        return
+    if all_of["n"] * all_of["dims"] * 8 <= block_bytes:
+        own = queries.toArrow().combine_chunks()
+        order = np.argsort(own.column("q").to_numpy(), kind="stable")
+        vec = own.column("vec").combine_chunks()
+        yield own.column("q").to_numpy()[order], matrix(vec)[order]
+        return
     ids, rows, size = [], [], 0
     for r in queries.orderBy("q").toLocalIterator():
         ids.append(r["q"])
@@ -133,13 +145,13 @@ def target_ranks(queries: DataFrame, corpus: DataFrame, targets: DataFrame, excl
     """
     wanted = materialize(targets.select(F.col("q").cast("long").alias("q"), F.col("id").cast("long").alias("id")).distinct(), "targets")
     spark = corpus.sparkSession
+    few = wanted.count() <= MOST_TARGETS
     out = []
     for ids, vecs in query_blocks(queries, block_bytes):
         sent = spark.sparkContext.broadcast((ids, vecs))
-        block = spark.createDataFrame([(i,) for i in ids.tolist()], "q long")
-        own = wanted.join(F.broadcast(block), "q", "left_semi")
-        sims = materialize(_target_sims(own, corpus, sent), "target-sims")
-        out.append(_counted(sims, corpus, sent, exclude_self))
+        block = spark.createDataFrame(pa.table({"q": ids}))  # block_bytes at most
+        sims = _target_sims(wanted.join(F.broadcast(block), "q", "left_semi"), corpus, sent)
+        out.append(_counted(sims if few else materialize(sims, "target-sims"), few, corpus, sent, exclude_self))
     return reduce(DataFrame.unionByName, out) if out else wanted.select("q", "id", F.lit(0.0).alias("sim"), F.lit(0).cast("long").alias("rank")).limit(0)
 
 
@@ -160,15 +172,16 @@ def _target_sims(wanted: DataFrame, corpus: DataFrame, sent) -> DataFrame:
     return rows.mapInArrow(run, "q long, id long, sim double")
 
 
-def _counted(sims: DataFrame, corpus: DataFrame, sent, exclude_self: bool) -> DataFrame:
-    """sims (q, id, sim) with rank; they are packed per query and travel to the rows in bounded parts."""
-    most = 2_000_000
-    parts = max(1, -(-sims.count() // most))
+def _counted(sims: DataFrame, few: bool, corpus: DataFrame, sent, exclude_self: bool) -> DataFrame:
+    """sims (q, id, sim) with rank; they are packed per query and travel to the rows in parts of about MOST_TARGETS."""
+    parts = 1 if few else max(1, -(-sims.count() // MOST_TARGETS))
     counts = []
     for part in range(parts):
-        rows = sims.filter(F.pmod(F.xxhash64("q", "id"), F.lit(parts)) == part).orderBy("q").toArrow()
+        rows = (sims if few else sims.filter(F.pmod(F.xxhash64("q", "id"), F.lit(parts)) == part)).toArrow()
         q, own, sim = (rows.column(c).to_numpy() for c in ("q", "id", "sim"))
-        goal = corpus.sparkSession.sparkContext.broadcast((q, own, sim))  # `most` rows of 24 bytes
+        order = np.argsort(q, kind="stable")
+        q, own, sim = q[order], own[order], sim[order]
+        goal = corpus.sparkSession.sparkContext.broadcast((q, own, sim))  # 24 bytes each
 
         def run(batches: Iterator[pa.RecordBatch], goal=goal) -> Iterator[pa.RecordBatch]:
             ids, vecs = sent.value
