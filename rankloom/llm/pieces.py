@@ -293,7 +293,7 @@ def digests(tokens: DataFrame) -> DataFrame:
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-        F.coalesce(F.element_at(F.col("span_ends"), -1), F.lit(0)).cast("long").alias("span_bytes"),
+        F.coalesce(F.try_element_at(F.col("span_ends"), F.lit(-1)), F.lit(0)).cast("long").alias("span_bytes"),
     )
 
 
