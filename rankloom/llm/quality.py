@@ -10,8 +10,6 @@ the rule's smallest distance, so groups without spread reject nothing at random)
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -73,23 +71,19 @@ def measures(text: Column) -> Column:
     )
 
 
+_PLACES = {"n_words": "w.n", "word_chars": "c", "n_symbols": "s", "n_dup_lines": "l.dup", "n_repeat_words": "w.rep", "n_lines": "l.n"}
+
+
+def _with_rules(one: DataFrame, *keep: Column) -> DataFrame:
+    """The columns in keep, the base columns and n_lines of the struct __m of one, and a column per rule."""
+    base = one.select(*keep, *[F.col(f"__m.{v}").cast("long").alias(k) for k, v in _PLACES.items()])
+    return base.withColumns({f"r_{k}": F.expr(v).cast("int") for k, (v, _) in RULES.items()})
+
+
 def measured(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:
     """One row per row of docs: id, language, source, base columns, n_lines and a column per rule."""
-    one = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), measures(text_or_empty(text_col)).alias("m")
-    )
-    base = one.select(
-        "doc_id",
-        "lang",
-        "source",
-        F.col("m.w.n").cast("long").alias("n_words"),
-        F.col("m.c").cast("long").alias("word_chars"),
-        F.col("m.s").cast("long").alias("n_symbols"),
-        F.col("m.l.dup").cast("long").alias("n_dup_lines"),
-        F.col("m.w.rep").cast("long").alias("n_repeat_words"),
-        F.col("m.l.n").cast("long").alias("n_lines"),
-    )
-    return base.withColumns({f"r_{k}": F.expr(v).cast("int") for k, (v, _) in RULES.items()})
+    one = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), measures(text_or_empty(text_col)).alias("__m"))
+    return _with_rules(one, F.col("doc_id"), F.col("lang"), F.col("source"))
 
 
 def sketches(rows: DataFrame) -> DataFrame:
@@ -140,19 +134,18 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The rows of docs that pass, with their columns.  Limits come from a first pass over the measures."""
-    rows = measured(docs, id_col, text_col, lang_col, source_col).filter(~base_failed())
+    """The rows of docs that pass, with their columns.  Documents are written once with their measures, for limits and verdicts both."""
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("__doc")
+    own = materialize(docs.select(whole, measures(text_or_empty(text_col)).alias("__m")), "measured-documents")
+    rows = _with_rules(own, F.col(f"__doc.`{lang_col}`").alias("lang"), F.col(f"__doc.`{source_col}`").alias("source")).filter(~base_failed())
     limits = materialize(thresholds(sketches(rows)), "quality-limits").withColumnsRenamed({"lang": "__lang", "source": "__source"})
     limits = F.broadcast(limits) if limits.count() <= 100_000 else limits
-    on = F.col(lang_col).eqNullSafe(F.col("__lang")) & F.col(source_col).eqNullSafe(F.col("__source"))
-    own = docs.withColumn("__m", measures(text_or_empty(text_col))).join(limits, on)
-    at = {"n_words": "w.n", "word_chars": "c", "n_symbols": "s", "n_dup_lines": "l.dup", "n_repeat_words": "w.rep", "n_lines": "l.n"}
-    own = own.withColumn("__b", F.struct(*[F.col(f"__m.{v}").cast("long").alias(k) for k, v in at.items()]))
-    in_b = lambda sql: re.sub(r"\b(n_\w+|word_chars)\b", r"__b.\1", sql)
-    ok = (F.col("__b.n_words") >= 50) & (100 * F.col("__b.n_repeat_words") <= 50 * F.col("__b.n_words"))
-    for k, (sql, _) in RULES.items():
-        ok = ok & (F.expr(in_b(sql)) <= F.col(f"t_{k}"))
-    return own.filter(ok).select(*[docs[c] for c in docs.columns])
+    each = _with_rules(own, F.col("__doc")).filter(~base_failed())
+    on = F.col(f"__doc.`{lang_col}`").eqNullSafe(F.col("__lang")) & F.col(f"__doc.`{source_col}`").eqNullSafe(F.col("__source"))
+    passed = each.join(limits, on)
+    for k in RULES:
+        passed = passed.filter(F.col(f"r_{k}") <= F.col(f"t_{k}"))
+    return passed.select("__doc.*")
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
