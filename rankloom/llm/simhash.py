@@ -194,8 +194,10 @@ def hex16(fp: Column) -> Column:
 WIDTH, TWENTIETHS, REACH = 5, 16, 22
 #: MinHash bands under which one_of_each() looks for pairs, and values in each.
 BANDS, ROWS = 32, 6
-#: Rows of one band value that are compared pair by pair at once.
+#: Rows that are looked around from at a time.
 SMALL = 32
+#: Bytes of shingle sets that one block of a group holds on average.
+BLOCK_BYTES = 512 << 10
 _MIX = np.random.default_rng(20240502).integers(1, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
 
 
@@ -231,7 +233,7 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """doc_id, digest, fp and band keys of every row with an id."""
+    """doc_id, digest, fp, band keys and number of shingles of every row with an id."""
     ship(docs.sparkSession)
     given = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
 
@@ -243,103 +245,145 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFr
             digests = [hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest() for t in texts]
             fps = np.array([_majority(s) for s in sets], np.uint64).view(np.int64)
             ends = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(fps), pa.ListArray.from_arrays(ends, pa.array(keys))], ["doc_id", "digest", "fp", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(fps), pa.ListArray.from_arrays(ends, pa.array(keys)), pa.array([len(x) for x in sets], pa.int64())], ["doc_id", "digest", "fp", "keys", "n"])
 
-    return given.mapInArrow(run, "doc_id long, digest binary, fp long, keys array<long>")
+    return given.mapInArrow(run, "doc_id long, digest binary, fp long, keys array<long>, n long")
 
 
-def _close(fp: np.ndarray, i: np.ndarray, j: np.ndarray, reach: int) -> np.ndarray:
-    """Which of the pairs i, j lie within reach: no pivot coordinate differs by more, and then their bits."""
-    near = np.ones(len(i), bool)
-    for p in PIVOTS:
-        at = np.bitwise_count(fp ^ p).astype(np.int16)
-        near &= np.abs(at[i] - at[j]) <= reach
-    near[near] = np.bitwise_count(fp[i[near]] ^ fp[j[near]]) <= reach
-    return near
+def _gathered(fp: np.ndarray, reach: int) -> np.ndarray:
+    """For each row the smallest row that steps of at most reach bits lead to.
 
-
-def _pairs(doc: np.ndarray, fp: np.ndarray, root: np.ndarray | None, reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs among the rows of one band value, in the order of their ids.
-
-    Up to SMALL rows: all.  Above: each row with the one before it and the first two, which links groups of
-    copies by few pairs.  With root (of the components these gave): all pairs of different components, in blocks.
+    Rows leave the pool when they are met, so a dense group costs about one comparison a row.  Pairs whose distances to
+    a pivot differ by more than reach are discarded before their bits are compared.
     """
-    n, out = len(doc), []
-    if root is not None:
-        for a in range(0, n, BLOCK):
-            for b in range(a, n, BLOCK):
-                i, j = np.nonzero(root[a : a + BLOCK, None] != root[None, b : b + BLOCK])
-                i, j = i + a, j + b
-                i, j = i[i < j], j[i < j]
-                near = _close(fp, i, j, reach)
-                out.append((doc[i[near]], doc[j[near]]))
-    elif n <= SMALL:
-        i, j = np.triu_indices(n, 1)
-        near = _close(fp, i, j, reach)
-        out.append((doc[i[near]], doc[j[near]]))
-    else:
-        at = np.arange(n)
-        for i, j in ((at[:-1], at[1:]), (np.zeros(n - 1, np.int64), at[1:]), (np.ones(n - 2, np.int64), at[2:])):
-            near = _close(fp, i, j, reach)
-            out.append((doc[i[near]], doc[j[near]]))
-    none = np.zeros(0, np.int64)
-    return np.concatenate([none, *[o[0] for o in out]]), np.concatenate([none, *[o[1] for o in out]])
-
-
-def _in_bands(entries: DataFrame, reach: int, by_root: bool) -> DataFrame:
-    """Distinct candidate pairs a < b of entries (key, doc_id, fp, and root if by_root)."""
-    ship(entries.sparkSession)
-    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = ["key", "doc_id", "fp", *["root"] * by_root]
-    rows = entries.select(*names).repartition(n, "key").sortWithinPartitions("key", "doc_id")
+    table = np.bitwise_count(fp[:, None] ^ PIVOTS[None, :4]).astype(np.int16)
+    lead, pool = np.full(len(fp), -1), np.arange(len(fp))
+    while len(pool):
+        seed, pool = int(pool[0]), pool[1:]
+        lead[seed], front = seed, [seed]
+        while front and len(pool):
+            rows, front = np.array(front[:SMALL]), front[SMALL:]
+            met = np.zeros(len(pool), bool)
+            for at in range(0, len(pool), BLOCK):
+                part = pool[at : at + BLOCK]
+                i, j = np.nonzero(np.abs(table[rows, None, 0] - table[None, part, 0]) <= reach)
+                for k in range(1, table.shape[1]):
+                    near = np.abs(table[rows[i], k] - table[part[j], k]) <= reach
+                    i, j = i[near], j[near]
+                met[at + j[np.bitwise_count(fp[rows[i]] ^ fp[part[j]]) <= reach]] = True
+            lead[pool[met]] = seed
+            front += pool[met].tolist()
+            pool = pool[~met]
+    return lead
+
+
+def _groups(names: list[str], n_keys: int, work):
+    """A function of record batches sorted by their first n_keys columns: work(columns) once per whole group of two rows or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
 
-        def done(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-            key, doc, fp, *root = (np.concatenate(x) for x in zip(*parts, strict=True))
-            starts = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0]
-            ends = np.append(starts[1:], len(key))
-            more = ends - starts > 1
-            found = [_pairs(doc[a:b], fp[a:b].view(np.uint64), root[0][a:b] if root else None, reach) for a, b in zip(starts[more].tolist(), ends[more].tolist(), strict=True)]
-            if found:
-                a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        def done() -> Iterator[pa.RecordBatch]:
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            if len(columns[0]) > 1:
+                yield from work(columns)
 
         for batch in batches:
-            x = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names]
+            x = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
             if not len(x[0]):
                 continue
-            if held and held[-1][0][-1] != x[0][0]:
-                yield from done(held)
-                held = []
-            differs = np.nonzero(x[0][1:] != x[0][:-1])[0]
-            last = int(differs[-1]) + 1 if len(differs) else 0
-            if last:
-                yield from done([*held, [c[:last] for c in x]])
+            differs = np.zeros(len(x[0]) - 1, bool)
+            for k in range(n_keys):
+                differs |= x[k][1:] != x[k][:-1]
+            starts = np.concatenate([[0], np.nonzero(differs)[0] + 1, [len(x[0])]])
+            if held and any(held[-1][k][-1] != x[k][0] for k in range(n_keys)):
+                yield from done()
                 held = []
-            held.append([c[last:] for c in x])
+            several = np.diff(starts) > 1
+            several[[0, -1]] = True  # these may go on in other batches
+            for a, b in zip(starts[:-1][several].tolist(), starts[1:][several].tolist(), strict=True):
+                if a and held:
+                    yield from done()
+                    held = []
+                held.append([c[a:b] for c in x])
         if held:
-            yield from done(held)
-
-    return rows.mapInArrow(run, "a long, b long").filter("a <> b").distinct()
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, twentieths: int) -> DataFrame:
-    """The pairs whose shingle sets have at least the similarity, on the whole texts of the rows in them."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("__id")).distinct()
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).join(ids, F.col("doc_id") == F.col("__id"), "left_semi")
+            yield from done()
+
+    return run
+
+
+def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))], ["a", "b"])
+
+
+def _candidates(reps: DataFrame, reach: int) -> DataFrame:
+    """doc_id and cc: documents that share bands and lie within reach of each other, directly or by others, have one cc."""
+    ship(reps.sparkSession)
+    n = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = reps.select(F.explode("keys").alias("key"), "doc_id", "fp").repartition(n, "key").sortWithinPartitions("key", "doc_id")
+
+    def stars(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        _, doc, fp = columns
+        lead = _gathered(fp.astype(np.int64).view(np.uint64), reach)
+        other = lead != np.arange(len(lead))
+        if other.any():
+            yield _edges(doc[lead[other]], doc[other])
+
+    pairs = entries.mapInArrow(_groups(["key", "doc_id", "fp"], 1, stars), "a long, b long").distinct()
+    return components(pairs).select(F.col("node").alias("doc_id"), F.col("root").alias("cc"))
+
+
+def linked(doc: np.ndarray, sets: list[np.ndarray], twentieths: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest (two arrays of ids) of the pairs of sets whose Jaccard similarity is at least twentieths / 20."""
+    sizes = np.array([len(s) for s in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(flat, kind="stable")
+    owner, flat = owner[order], flat[order]
+    starts = np.concatenate([[0], np.nonzero(flat[1:] != flat[:-1])[0] + 1])
+    value, ends = flat[starts], np.append(starts[1:], len(flat))
+    label, out = np.arange(len(sets)), []
+    for r, own in enumerate(sets):
+        at = np.searchsorted(value, own)
+        first, n = starts[at], ends[at] - starts[at]
+        first, n = first[n > 1], n[n > 1]
+        if not len(n):
+            continue
+        skip = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
+        both = np.bincount(owner[skip + np.arange(n.sum())], minlength=len(sets))
+        hits = np.nonzero(both * (20 + twentieths) >= (sizes + sizes[r]) * twentieths)[0]
+        met = np.unique(label[hits])
+        if len(met) > 1:
+            out += [(met[0], x) for x in met[1:].tolist()]
+            label[np.isin(label, met)] = met[0]
+    return doc[[int(x) for x, _ in out]], doc[[int(x) for _, x in out]]
+
+
+def _verified(sets: DataFrame, twentieths: int) -> DataFrame:
+    """a, b: links among the rows (cc, i, j, doc_id, s) of each (cc, i, j)."""
+    n = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = sets.select("cc", "i", "j", "doc_id", "s").repartition(n, "cc", "i", "j").sortWithinPartitions("cc", "i", "j", "doc_id")
+
+    def compare(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        doc, packed = columns[3], columns[4]
+        a, b = linked(doc, [np.frombuffer(x, np.uint64) for x in packed], twentieths)
+        if len(a):
+            yield _edges(a, b)
+
+    return rows.mapInArrow(_groups(["cc", "i", "j", "doc_id", "s"], 3, compare), "a long, b long").distinct()
+
+
+def _shingled(docs: DataFrame, own: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """The rows of own (doc_id, ...) with s, their document's shingle set as bytes."""
+    given = docs.select(F.col(id_col).cast("long").alias("__id"), text_or_empty(text_col).alias("__text"))
+    rows = given.join(own, F.col("__id") == F.col("doc_id")).select(*own.columns, "__text")
+    names = own.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [pa.array(shingle_set(t.as_py(), width).view(np.int64)) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "s"])
+            packed = [shingle_set(t.as_py(), width).tobytes() for t in batch.column(len(names))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], [*names, "s"])
 
-    sets = given.mapInArrow(run, "doc_id long, s array<long>")
-    left, right = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    enough = both * (20 + twentieths) >= (F.size("sa") + F.size("sb")) * twentieths
-    return pairs.join(left, "a").join(right, "b").filter(enough).select("a", "b").distinct()
+    return rows.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema) + ", s binary")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, twentieths: int = TWENTIETHS, reach: int = REACH) -> DataFrame:
@@ -348,23 +392,30 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     Texts link if they are equal or their sets of `width`-word shingles have a Jaccard similarity of at least
     twentieths / 20.  Blocks of equal fingerprint bits can't find pairs 10 bits apart, so documents meet
     under MinHash bands (at similarity 0.8 a pair shares one of them but for 1 in 10,000); pairs beyond
-    `reach` bits are discarded by pivot distances and fingerprints, and survivors verified on whole texts.
-    Exact copies are folded first.  A band value of many documents gives few pairs; where their verified
-    links leave it in several components, all pairs across them are looked at too.
-    Rows that share an id are one document; those without an id are left out.
+    `reach` bits are discarded by pivot distances and fingerprints.  What hangs together after that is compared in
+    full, on the shingle sets of whole texts, and gives a spanning forest of its links, never the pairs.  A
+    group above BLOCK_BYTES of sets is dealt out in blocks: each block first meets itself and the first one, and only where that
+    leaves more than one class do all blocks meet each other.
+    Exact copies are folded first.  Rows that share an id are one document; those without an id are left out.
     """
     sketch = materialize(_sketches(docs, id_col, text_col, width), "sketches")
-    folded = sketch.groupBy("digest").agg(F.min(F.struct("doc_id", "fp", "keys")).alias("m"))
+    folded = sketch.groupBy("digest").agg(F.min(F.struct("doc_id", "fp", "keys", "n")).alias("m"))
     reps = materialize(folded.select("digest", "m.*"), "distinct-texts")
-    entries = reps.select(F.explode("keys").alias("key"), "doc_id", "fp")
-    pairs = materialize(_in_bands(entries, reach, False), "candidate-pairs")
-    edges = materialize(_verified(pairs, docs, id_col, text_col, width, twentieths), "links")
+    grouped = materialize(_candidates(reps.select("doc_id", "fp", "keys"), reach), "candidates").join(reps.groupBy("doc_id").agg(F.max("n").alias("n")), "doc_id")
+    sizes = grouped.groupBy("cc").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") * 8 / BLOCK_BYTES).cast("int")).alias("blocks"))
+    placed = materialize(grouped.join(sizes, "cc").select("doc_id", "cc", "blocks", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("blk")), "blocks")
+    # Block 0 goes to every other block, so each comes back about twice in all.
+    first = F.when(F.col("blocks") == 1, F.array(F.lit(0))).when(F.col("blk") == 0, F.sequence(F.lit(1), F.greatest(F.col("blocks") - 1, F.lit(1)))).otherwise(F.array("blk"))
+    own = _shingled(docs, placed, id_col, text_col, width)
+    edges = materialize(_verified(own.select("cc", F.lit(0).alias("i"), F.explode(first).alias("j"), "doc_id", "s"), twentieths), "links")
     found = components(edges)
-    rooted = entries.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    open_keys = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter((F.col("n") > SMALL) & (F.col("lo") < F.col("hi")))
-    rest = materialize(_in_bands(rooted.join(open_keys.select("key"), "key", "left_semi"), reach, True).join(pairs, ["a", "b"], "left_anti"), "further-pairs")
+    split = placed.filter("blocks > 2").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").groupBy("cc").agg(F.count_distinct(F.coalesce("root", "doc_id")).alias("left")).filter(F.col("left") > 1)
+    rest = materialize(placed.join(split.select("cc"), "cc", "left_semi").filter("blk > 0"), "open-blocks")
     if not rest.isEmpty():
-        found = components(edges.unionByName(_verified(rest, docs, id_col, text_col, width, twentieths)))
+        other = F.filter(F.sequence(F.lit(1), F.col("blocks") - 1), lambda k: k != F.col("blk"))
+        meets = _shingled(docs, rest, id_col, text_col, width).select("cc", "doc_id", "s", "blk", F.explode(other).alias("o"))
+        more = meets.select("cc", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "doc_id", "s")
+        found = components(edges.unionByName(_verified(more, twentieths)))
     label = reps.select("digest", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("digest", F.coalesce("root", "doc_id").alias("class_id"))
     return sketch.select("doc_id", "digest").join(label, "digest").select("doc_id", "class_id")
 
