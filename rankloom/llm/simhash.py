@@ -196,6 +196,8 @@ WIDTH, TWENTIETHS, REACH = 5, 16, 22
 BANDS, ROWS = 32, 6
 #: Rows that are looked around from at a time.
 SMALL = 32
+#: Candidates (a few numbers each) up to which every task gets all of them; beyond, documents are joined to them.
+FEW_ROWS = 1_000_000
 #: Bytes of shingle sets that one block of a group holds on average.
 BLOCK_BYTES = 512 << 10
 _MIX = np.random.default_rng(20240502).integers(1, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
@@ -375,7 +377,8 @@ def _verified(sets: DataFrame, twentieths: int) -> DataFrame:
 def _shingled(docs: DataFrame, own: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """The rows of own (doc_id, ...) with s, their document's shingle set as bytes."""
     given = docs.select(F.col(id_col).cast("long").alias("__id"), text_or_empty(text_col).alias("__text"))
-    rows = given.join(own, F.col("__id") == F.col("doc_id")).select(*own.columns, "__text")
+    side = F.broadcast(own) if own.count() <= FEW_ROWS else own  # else texts are shuffled
+    rows = given.join(side, F.col("__id") == F.col("doc_id")).select(*own.columns, "__text")
     names = own.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
