@@ -2,14 +2,14 @@
 
 The model file's normaliser is read here: its compiled character map (a double-array trie over UTF-8
 with a pool of replacements) rewrites the longest prefix that it knows at each place, and every
-normalised byte records the original byte it came from.  Texts are segmented by the sentencepiece
-library, word by word where the vocabulary has no piece that crosses a word's start (then merges in
-one word can't touch another, so results are those for the whole text), and each piece's normalised
-bytes are projected through that record to the original byte span.
+normalised byte records the original byte it came from.  Whole texts are segmented by the sentencepiece
+library, and each piece's normalised bytes are projected through that record to the original byte
+span.  Without a map the record follows from where the spaces are, and isn't written out.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
 from collections.abc import Iterator
@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,12 +25,14 @@ from pyspark.sql import types as T
 from .common import documents, ship, text_or_empty
 
 MODEL = "piece_bpe_32k.model"
-#: Words whose pieces a task remembers; it forgets all when full, which changes no result.
-CACHE_WORDS = 500_000
-#: Bytes of text in one batch that goes back to Spark.
-BATCH_BYTES = 4 << 20
+#: Bytes of text that are handed over, and go back to Spark, at a time; a longer text goes alone.
+GROUP_BYTES = 1 << 20
 SPACE = "▁"
 _SPACE = SPACE.encode()
+#: Kinds of pieces in the model file.
+NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
+#: Words of one part that is handed to the library.
+PART_WORDS = 64
 
 
 def _fields(b: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -121,7 +124,7 @@ class Normalizer:
                     break
                 at += step
             if at == n:
-                return b"", np.full(1, n, np.int64)
+                return b"", np.zeros(1, np.int64)
         if self.dummy_prefix:
             out += space
             align += [at] * len(space)
@@ -165,109 +168,151 @@ class Normalizer:
 
 
 class Encoder:
-    """Encodes and decodes whole texts as the library does, with spans."""
+    """Encodes and decodes whole texts as the library does, with spans.  It keeps nothing from text to text."""
 
-    def __init__(self, model: bytes, cache_words: int = CACHE_WORDS):
+    def __init__(self, model: bytes):
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.norm = Normalizer(model)
         pieces = [self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())]
         kinds = [dict(_fields(v)).get(3, 1) for k, v in _fields(model) if k == 1]
+        self.plain = not self.norm.map.units and not self.norm.remove_extra
+        self.lengths = np.array([1 if k == BYTE else len(p.encode()) for p, k in zip(pieces, kinds, strict=True)], np.int64)
+        self.unknown = np.array([k == UNKNOWN for k in kinds])
+        self.names = [str(i) for i in range(len(pieces))]
+        #: What a normal or byte piece stands for; the library decodes texts with any other.
+        self.bytes = [bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(SPACE, " ").encode() for p, k in zip(pieces, kinds, strict=True)]
+        self.spaced = np.array([p.startswith(SPACE) for p in pieces])
+        self.other = np.array([k not in (NORMAL, BYTE) for k in kinds])
         bpe = dict(_fields(next((v for k, v in _fields(model) if k == 2), b""))).get(3, 1) == 2
-        user = any(k == 4 for k in kinds)
-        self.by_word = bpe and not user and self.norm.escape and self.norm.dummy_prefix and not self.norm.remove_extra and not self.norm.map.units and not any(SPACE in p.lstrip(SPACE) for p in pieces)
-        self.lengths = np.array([1 if k == 6 else len(p.encode()) for p, k in zip(pieces, kinds, strict=True)], np.int64)
-        self.unknown = {i for i, k in enumerate(kinds) if k == 2}
-        self.odd = {i for i, k in enumerate(kinds) if k != 1}
-        self.words = re.compile(f"{SPACE}+[^{SPACE}]*").findall
-        self.known: dict[str, tuple[bytes, str]] = {}
-        self.cache_words = cache_words
-
-    def _learn(self, words: set[str]) -> None:
-        """Remember ids (as bytes) and decoded text of words that start with one or more SPACE."""
-        if len(self.known) + len(words) > self.cache_words:
-            self.known.clear()
-        words = list(words)
-        # The library puts one SPACE before a text; the word brings its first one.
-        for word, ids in zip(words, self.sp.encode([w[1:] for w in words], num_threads=1), strict=True):
-            if word == SPACE:
-                ids = [self.sp.piece_to_id(SPACE)]
-            plain = not self.odd.intersection(ids)
-            text = word.replace(SPACE, " ") if plain else self.sp.decode([*self.sp.encode("a"), *ids])[1:]
-            self.known[word] = np.array(ids, np.int32).tobytes(), text
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
+        inner = any(k == USER or SPACE in p.lstrip(SPACE) for p, k in zip(pieces, kinds, strict=True))
+        self.in_parts = bpe and not inner and self.plain and self.norm.escape and self.norm.dummy_prefix
+        self.parts = re.compile(f"[^ ]*(?: +[^ ]+){{0,{PART_WORDS - 1}}}(?: +\\Z)?").findall
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The library's ids of whole texts.
+
+        Merges look for the best pair of all that is handed over, so long texts cost more than their length.  Where no piece crosses
+        a word's start, merges in one word never touch another, and texts are handed over in parts that start at words.
+        """
+        parts, ends = [], []
+        for text in texts:
+            if self.in_parts and SPACE not in text:
+                first, *more = self.parts(text)
+                parts.append(first)
+                parts += [p[1:] for p in more if p]  # the library puts a space before each part; all but the first bring their own
+            else:
+                parts.append(text)
+            ends.append(len(parts))
+        found = self.sp.encode_as_numpy(parts, num_threads=1)
+        return [found[a] if b - a == 1 else np.concatenate(found[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def encode(self, text: str, ids: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
         """Ids, first and last (exclusive) original byte of each piece, and the decoded text."""
-        raw = text.encode()
-        norm, align = self.norm(raw)
-        if self.by_word and norm:
-            heads = self.words(norm.decode())
+        ids = self.ids([text])[0] if ids is None else ids
+        return ids, *self._spans(ids, text), self._decoded(ids).decode()
+
+    def digest(self, text: str, ids: np.ndarray | None = None) -> tuple[int, str, str, int, str]:
+        """Number of ids, SHA-256 of the ids joined by commas and of the decoded text, the last span's end, SHA-256 of all ends."""
+        ids = self.ids([text])[0] if ids is None else ids
+        ends = self._spans(ids, text)[1]
+        joined = ",".join(map(self.names.__getitem__, ids.tolist())).encode()
+        last = int(ends[-1]) if len(ends) else 0
+        return len(ids), *[hashlib.sha256(x).hexdigest() for x in (joined, self._decoded(ids))], last, hashlib.sha256(ends.astype("<i8").tobytes()).hexdigest()
+
+    def decode(self, ids: list[int]) -> str:
+        """The text of any ids, as the library decodes them."""
+        return self._decoded(np.array(ids, np.int32)).decode()
+
+    def _decoded(self, ids: np.ndarray) -> bytes:
+        if self.norm.escape and self.norm.dummy_prefix and not self.norm.remove_extra and not self.other[ids].any():
+            out = b"".join(map(self.bytes.__getitem__, ids.tolist()))
+            out = out[1:] if len(ids) and self.spaced[ids[0]] else out
             try:
-                found = [self.known[h] for h in heads]
-            except KeyError:
-                self._learn(set(heads).difference(self.known))
-                if not self.known.keys() >= set(heads):  # the memory was cleared to learn
-                    self._learn(set(heads))
-                found = [self.known[h] for h in heads]
-            ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
-            decoded = "".join([f[1] for f in found])
-            decoded = decoded[1:] if decoded.startswith(" ") else decoded
-        else:
-            ids = np.array(self.sp.encode(text), np.int32)
-            decoded = self.sp.decode(ids.tolist())
-        ends = np.cumsum(self._lengths(ids, text))
-        return ids, align[np.concatenate([[0], ends[:-1]])] if len(ids) else ids, align[ends] if len(ids) else ids, decoded
-
-    def _lengths(self, ids: np.ndarray, text: str) -> np.ndarray:
-        """Normalised bytes of each piece; an unknown piece has those of the surface the library reports."""
+                out.decode()
+                return out
+            except UnicodeDecodeError:  # byte pieces that make no character: not from a text
+                pass
+        return self.sp.decode(ids.tolist()).encode()
+
+    def _spans(self, ids: np.ndarray, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """First and last (exclusive) original byte of each piece."""
+        if not len(ids):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        raw = text.encode()
         lengths = self.lengths[ids]
-        odd = [u for u in self.unknown if (ids == u).any()]
-        if odd:
-            surfaces = [len(p.encode()) for p in self.sp.encode(text, out_type=str)]
-            lengths = np.where(np.isin(ids, odd), surfaces, lengths)
-        return lengths
+        if (gone := self.unknown[ids]).any():  # an unknown piece has the normalised bytes of the surface the library reports
+            lengths = np.where(gone, [len(p.encode()) for p in self.sp.encode(text, out_type=str)], lengths)
+        ends = np.cumsum(lengths)
+        starts = ends - lengths
+        if not self.plain:
+            align = self.norm(raw)[1]
+            return align[starts], align[ends]
+        # Without a map only spaces grow: a place lies behind the prefix and two more bytes for each space before it.
+        wide = len(_SPACE) - 1 if self.norm.escape else 0
+        prefix = wide + 1 if self.norm.dummy_prefix else 0
+        spaces = np.nonzero(np.frombuffer(raw, np.uint8) == 32)[0]
+        grown = spaces + prefix + wide * np.arange(len(spaces))
+        there = np.maximum(ends - prefix - wide * np.searchsorted(grown, ends, "left"), 0)
+        return np.concatenate([[0], there[:-1]]), there
 
 
 @lru_cache(maxsize=1)
 def encoder(model: bytes) -> Encoder:
-    """The encoder of a worker, which keeps its words from task to task."""
+    """The encoder of a worker."""
     return Encoder(model)
 
 
-def encoded(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, ids, span_starts, span_ends (bytes of the original text), decoded, and the columns in keep.
-
-    A null or empty text has no ids and an empty decoded text.  Texts of any length are encoded whole;
-    repeated rows are encoded each; an empty table gives no rows.
-    """
+def _mapped(docs: DataFrame, model: bytes, id_col: str, text_col: str, keep: tuple[str, ...], fields: list[tuple[str, T.DataType]], each, arrays) -> DataFrame:
+    """doc_id, fields and the columns in keep; each(encoder, text, ids) gives a row, arrays(rows) the columns of fields."""
     spark = docs.sparkSession
     ship(spark)
     sent = spark.sparkContext.broadcast(model)  # the model file: half a megabyte, whatever the input
-    fields = {f"k_{c}": docs.schema[c].dataType for c in keep}
-    given = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), *[F.col(c).alias(f"k_{c}") for c in keep])
+    kept = {f"k_{c}": c for c in keep}
+    given = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), *[F.col(c).alias(k) for k, c in kept.items()])
     schema = given.drop("text").schema
-    for name in ("ids", "span_starts", "span_ends"):
-        schema = schema.add(name, T.ArrayType(T.IntegerType()))
-    schema = schema.add("decoded", T.StringType())
+    for name, kind in fields:
+        schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(sent.value)
         for batch in batches:
-            at, names = 0, [n for n in batch.schema.names if n != "text"]
-            texts, out, size = batch.column("text"), [], 0
-            for i in range(batch.num_rows):
-                out.append(enc.encode(texts[i].as_py()))
-                size += len(out[-1][3]) + 12 * len(out[-1][0])
-                if size >= BATCH_BYTES or i + 1 == batch.num_rows:
-                    lists = [_lists([o[k] for o in out]) for k in range(3)]
-                    yield pa.RecordBatch.from_arrays(
-                        [*[batch.column(n).slice(at, len(out)) for n in names], *lists, pa.array([o[3] for o in out], pa.string())],
-                        [*names, "ids", "span_starts", "span_ends", "decoded"],
-                    )
-                    at, out, size = i + 1, [], 0
-
-    return given.mapInArrow(run, schema).withColumnsRenamed({k: k[2:] for k in fields})
+            names = [n for n in batch.schema.names if n != "text"]
+            column = batch.column("text")
+            upto = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < batch.num_rows:
+                # As many texts as have GROUP_BYTES bytes, one at least.
+                end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + GROUP_BYTES, "right")))
+                texts = column.slice(at, end - at).to_pylist()
+                rows = [each(enc, t, i) for t, i in zip(texts, enc.ids(texts), strict=True)]
+                yield pa.RecordBatch.from_arrays([*[batch.column(n).slice(at, end - at) for n in names], *arrays(rows)], [*names, *[n for n, _ in fields]])
+                at = end
+
+    return given.mapInArrow(run, schema).withColumnsRenamed(kept)
+
+
+def encoded(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, ids, span_starts, span_ends (bytes of the original text), decoded, and the columns in keep.
+
+    A null or empty text has no ids and an empty decoded text.  Texts of any length are encoded whole;
+    repeated rows are encoded each; an empty table gives no rows; columns that aren't kept may have any name.
+    """
+
+    fields = [*[(n, T.ArrayType(T.IntegerType())) for n in ("ids", "span_starts", "span_ends")], ("decoded", T.StringType())]
+    return _mapped(docs, model, id_col, text_col, keep, fields, Encoder.encode, lambda rows: [*[_lists([r[k] for r in rows]) for k in range(3)], pa.array([r[3] for r in rows], pa.string())])
+
+
+def digested(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, span_bytes, spans_sha256: what encoded() gives, hashed where it is made.
+
+    span_bytes is where the last piece ends in the original text (0 without pieces), spans_sha256 the digest of all pieces' ends
+    as little-endian longs.  Nulls, long texts, repeated rows and empty tables: see encoded().
+    """
+    kinds = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType()), ("span_bytes", T.LongType()), ("spans_sha256", T.StringType())]
+    own = [pa.int64() if isinstance(k, T.LongType) else pa.string() for _, k in kinds]
+    return _mapped(docs, model, id_col, text_col, (), kinds, Encoder.digest, lambda rows: [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), own, strict=True)])
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -298,8 +343,8 @@ def digests(tokens: DataFrame) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
-    """Every document's ids and decoded text as digests; span_bytes is where the last piece ends.
+    """Every document's ids, decoded text and spans as digests.
 
-    Nulls, empty tables and repeated rows: see encoded().
+    Nulls, long texts, empty tables and repeated rows: see digested().
     """
-    return digests(encoded(documents(spark, sf_dir), model_bytes(model_path)))
+    return digested(documents(spark, sf_dir), model_bytes(model_path))

@@ -140,23 +140,46 @@ def test_op3_spans(spark):
             assert b"".join(raw[x:y] for x, y in zip(a, b, strict=True)) == raw
 
 
+def test_op3_parts_and_decoding():
+    """Ids of texts of any mix of characters, handed over in parts, and texts of any ids, are the library's."""
+    import random
+
+    from rankloom.llm.pieces import Encoder, model_bytes
+
+    enc, rng = Encoder(model_bytes()), random.Random(5)
+    alphabet = [" ", "  ", "▁", "a", "th", "é", "\n", "日本", "\U0001f600", "\0", "x" * 40, "\ufeff", "\u200b", " \t", "e "]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.choice([0, 1, 2, 5, 30, 300, 3000]))) for _ in range(400)]
+    for text, ids in zip(texts, enc.ids(texts), strict=True):
+        assert ids.tolist() == enc.sp.encode(text), text
+        any_ids = [rng.randrange(32000) if rng.random() < 0.7 else rng.randrange(260) for _ in range(rng.randrange(12))]
+        assert enc.decode(any_ids) == enc.sp.decode(any_ids), any_ids
+        # The library counts characters, the spans bytes; where several byte pieces make one character only those differ.
+        own, a, b, _ = enc.encode(text)
+        chars = lambda n: len(text.encode()[:n].decode("utf-8", "ignore"))  # noqa: E731, B023
+        whole = [(chars(x), chars(y)) for x, y, i in zip(a, b, own, strict=True) if not enc.sp.is_byte(int(i))]
+        assert whole == [tuple(o) for o, i in zip(enc.sp.encode_as_offset_mapping(text)["offsets"], own, strict=True) if not enc.sp.is_byte(int(i))], text
+
+
 def test_op3_character_map():
-    """Longest prefixes of a compiled map are rewritten, and each byte tells where it came from."""
-    from rankloom.llm.pieces import CharMap, Normalizer
-
-    class Table(CharMap):
-        def __init__(self, table):
-            super().__init__(b"")
-            self.table, self.units = table, [0]
-
-        def longest(self, text, at):
-            hits = [k for k in self.table if text.startswith(k, at)]
-            return (len(max(hits, key=len)), self.table[max(hits, key=len)]) if hits else None
-
-    norm = Normalizer.__new__(Normalizer)
-    norm.map, norm.dummy_prefix, norm.remove_extra, norm.escape, norm.suffix = Table({b"ab": b"X", b"abc": b"YZ", b"\t": b" "}), True, True, True, False
-    out, align = norm(b"  abcab\t d ")
-    assert out.decode() == "▁YZX▁d" and align.tolist() == [2, 2, 2, 2, 2, 5, 7, 7, 7, 9, 10]
+    """The walk through a compiled map (the library's own NFKC rules) gives its normalised text and where each character came from."""
+    import random
+
+    import sentencepiece
+
+    from rankloom.llm.pieces import Normalizer
+
+    rng = random.Random(6)
+    some = [" ", "  ", "\t", "\u3000", "ﬁ", "ｆｕｌｌ", "㍿", "カ゛", "é", "e\u0301", "①", "ab", "\u200b", "\xa0", "\x07", "한", "\u1112\u1161", "\U0001f600", "½"]
+    texts = ["", " ", *["".join(rng.choice(some) for _ in range(rng.choice([1, 2, 9, 60]))) for _ in range(300)]]
+    for extra in (True, False):
+        theirs = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc", add_dummy_prefix=True, escape_whitespaces=True, remove_extra_whitespaces=extra)
+        own = Normalizer(theirs.serialized_model_proto())
+        assert len(own.map.units) > 10_000
+        for text in texts:
+            out, align = own(text.encode())
+            want, offsets = theirs.normalize(text, with_offsets=True)
+            at = [len(want[:k].encode()) for k in range(len(want) + 1)]
+            assert out.decode() == want and [len(text.encode()[: align[k]].decode()) for k in at] == offsets[: len(at)], text
 
 
 def test_op4_labels_held_out(spark, tmp_path):
