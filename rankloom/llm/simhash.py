@@ -22,12 +22,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankloom.operators.graph import components
 
-from .common import documents, materialize, ship, text_or_empty
+from .common import documents, materialize, ship, text_or_empty, unused
 
 SHINGLE = 3
 RADIUS = 2
@@ -194,10 +194,12 @@ def hex16(fp: Column) -> Column:
 WIDTH, TWENTIETHS, REACH = 5, 16, 22
 #: MinHash bands under which one_of_each() looks for pairs, and values in each.
 BANDS, ROWS = 32, 6
+#: Shingles of the texts under one key above which the key is parted by the next band's value, and how often at most.
+KEY_SHINGLES, LEVELS = 2_000_000, 3
+#: Keys that are parted, at most: KEY_SHINGLES grows with the corpus so that there are no more (8 bytes each).
+HOT_KEYS = 2_000_000
 #: Rows that are looked around from at a time.
 SMALL = 32
-#: Candidates (a few numbers each) up to which every task gets all of them; beyond, documents are joined to them.
-FEW_ROWS = 1_000_000
 #: Bytes of shingle sets that one block of a group holds on average.
 BLOCK_BYTES = 512 << 10
 _MIX = np.random.default_rng(20240502).integers(1, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
@@ -252,6 +254,93 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFr
     return given.mapInArrow(run, "doc_id long, digest binary, fp long, keys array<long>, n long")
 
 
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    """The column keys of a batch, a row for each of its rows."""
+    return batch.column("keys").flatten().to_numpy().view(np.uint64).reshape(-1, BANDS)
+
+
+def _deeper(keys: np.ndarray, now: np.ndarray, level: int) -> np.ndarray:
+    """Keys of the next level: mixed with the band that lies level places on."""
+    out = (now ^ np.roll(keys, -level, axis=1)) * np.uint64(0x9E3779B97F4A7C15)
+    return out ^ (out >> np.uint64(29))
+
+
+def _known(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    if not len(sorted_keys):
+        return np.zeros(keys.shape, bool)
+    return sorted_keys[np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)] == keys
+
+
+def _levelled(keys: np.ndarray, hot: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's key of each band, parted as often as it was hot; and how often."""
+    now, level = keys, np.zeros(keys.shape, np.int8)
+    for k, own in enumerate(hot):
+        met = (level == k) & _known(own, now)
+        if k + 1 < LEVELS:
+            now = np.where(met, _deeper(keys, now, k + 1), now)
+        level = level + met
+    return now, level
+
+
+def _hot_keys(reps: DataFrame) -> list[np.ndarray]:
+    """Per level the sorted keys with more than KEY_SHINGLES shingles.
+
+    A batch tells of the keys that it has twice or more; what it has once adds at most one row per batch to a group.
+    """
+    spark = reps.sparkSession
+    total = reps.agg(F.sum("n").alias("n")).first()["n"] or 0
+    most, hot = max(KEY_SHINGLES, -(-BANDS * total // HOT_KEYS)), []
+    for level in range(LEVELS):
+        sent = spark.sparkContext.broadcast(hot)  # HOT_KEYS longs a level
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, level=level) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    keys, deep = _levelled(_matrix(batch), sent.value)
+                    own = np.repeat(batch.column("n").to_numpy(), BANDS)[(deep == level).ravel()]
+                    k, at, times = np.unique(keys[deep == level], return_inverse=True, return_counts=True)
+                    n = np.bincount(at, own, len(k)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(k[times > 1].view(np.int64)), pa.array(n[times > 1])], ["key", "n"])
+
+        sums = reps.select("keys", "n").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") > most)
+        found = np.array([r["key"] for r in sums.select("key").collect()], np.int64).view(np.uint64)  # HOT_KEYS at most
+        if not len(found):
+            break
+        hot.append(np.sort(found))
+    return hot
+
+
+def _entries(reps: DataFrame, hot: list[np.ndarray]) -> DataFrame:
+    """key, nid, fp, lead: each text under its keys.
+
+    Of texts under a key that is hot on all levels (they share the smallest values of LEVELS bands) one per batch stands for the
+    others, which have it as their lead under a key of their own.
+    """
+    ship(reps.sparkSession)
+    sent = reps.sparkSession.sparkContext.broadcast(hot)  # HOT_KEYS longs a level
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, deep = _levelled(_matrix(batch), sent.value)
+            nid, fp = (np.repeat(batch.column(c).to_numpy(), BANDS) for c in ("nid", "fp"))
+            key, deep = keys.ravel(), deep.ravel()
+            lead = np.full(len(key), -1)
+            all_hot = np.nonzero(deep == LEVELS)[0]
+            if len(all_hot):
+                _, first, at = np.unique(key[all_hot], return_index=True, return_inverse=True)
+                lead[all_hot] = nid[all_hot[first[at]]]
+                lead[all_hot[first]] = -1
+            plain = lead < 0
+            # A text may have the same lead under several bands.
+            pair = np.unique(np.stack([lead[~plain], nid[~plain]], axis=1), axis=0) if not plain.all() else np.zeros((0, 2), np.int64)
+            columns = [np.concatenate(c) for c in zip((key[plain].view(np.int64), nid[plain], fp[plain], lead[plain]), (pair[:, 0], pair[:, 1], np.zeros(len(pair), np.int64), pair[:, 0]), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["key", "nid", "fp", "lead"])
+
+    return reps.select("nid", "fp", "keys").mapInArrow(run, "key long, nid long, fp long, lead long")
+
+
 def _gathered(fp: np.ndarray, reach: int) -> np.ndarray:
     """For each row the smallest row that steps of at most reach bits lead to.
 
@@ -318,24 +407,25 @@ def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))], ["a", "b"])
 
 
-def _candidates(reps: DataFrame, reach: int) -> DataFrame:
-    """doc_id and cc: documents that share bands and lie within reach of each other, directly or by others, have one cc."""
-    ship(reps.sparkSession)
-    n = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entries = reps.select(F.explode("keys").alias("key"), "doc_id", "fp").repartition(n, "key").sortWithinPartitions("key", "doc_id")
+def _candidates(entries: DataFrame, reach: int) -> DataFrame:
+    """nid and cc: texts that share keys and lie within reach of each other, directly or by others, have one cc."""
+    ship(entries.sparkSession)
+    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = entries.filter("lead < 0").repartition(n, "key").sortWithinPartitions("key", "nid")
 
     def stars(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        _, doc, fp = columns
+        _, nid, fp = columns
         lead = _gathered(fp.astype(np.int64).view(np.uint64), reach)
         other = lead != np.arange(len(lead))
         if other.any():
-            yield _edges(doc[lead[other]], doc[other])
+            yield _edges(nid[lead[other]], nid[other])
 
-    pairs = entries.mapInArrow(_groups(["key", "doc_id", "fp"], 1, stars), "a long, b long").distinct()
-    return components(pairs).select(F.col("node").alias("doc_id"), F.col("root").alias("cc"))
+    pairs = rows.mapInArrow(_groups(["key", "nid", "fp"], 1, stars), "a long, b long")
+    pairs = pairs.unionByName(entries.filter("lead >= 0").select(F.col("lead").alias("a"), F.col("nid").alias("b"))).distinct()
+    return components(pairs).select(F.col("node").alias("nid"), F.col("root").alias("cc"))
 
 
-def linked(doc: np.ndarray, sets: list[np.ndarray], twentieths: int) -> tuple[np.ndarray, np.ndarray]:
+def linked(ids: np.ndarray, sets: list[np.ndarray], twentieths: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest (two arrays of ids) of the pairs of sets whose Jaccard similarity is at least twentieths / 20."""
     sizes = np.array([len(s) for s in sets])
     flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
@@ -357,83 +447,118 @@ def linked(doc: np.ndarray, sets: list[np.ndarray], twentieths: int) -> tuple[np
         if len(met) > 1:
             out += [(met[0], x) for x in met[1:].tolist()]
             label[np.isin(label, met)] = met[0]
-    return doc[[int(x) for x, _ in out]], doc[[int(x) for _, x in out]]
+    return ids[[int(x) for x, _ in out]], ids[[int(x) for _, x in out]]
 
 
-def _verified(sets: DataFrame, twentieths: int) -> DataFrame:
-    """a, b: links among the rows (cc, i, j, doc_id, s) of each (cc, i, j)."""
+def _verified(sets: DataFrame, by: list[str], twentieths: int) -> DataFrame:
+    """a, b: a spanning forest of the links among the rows (*by, nid, s) of each group; by are longs."""
     n = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = sets.select("cc", "i", "j", "doc_id", "s").repartition(n, "cc", "i", "j").sortWithinPartitions("cc", "i", "j", "doc_id")
+    rows = sets.select(*by, "nid", "s").repartition(n, *by).sortWithinPartitions(*by, "nid")
 
     def compare(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        doc, packed = columns[3], columns[4]
-        a, b = linked(doc, [np.frombuffer(x, np.uint64) for x in packed], twentieths)
+        nid, packed = columns[-2:]
+        a, b = linked(nid, [np.frombuffer(x, np.uint64) for x in packed], twentieths)
         if len(a):
             yield _edges(a, b)
 
-    return rows.mapInArrow(_groups(["cc", "i", "j", "doc_id", "s"], 3, compare), "a long, b long").distinct()
+    return rows.mapInArrow(_groups([*by, "nid", "s"], len(by), compare), "a long, b long").distinct()
+
+
+def _digest(text_col: str) -> Column:
+    return F.unhex(F.sha2(text_or_empty(text_col).cast("binary"), 256))
 
 
 def _shingled(docs: DataFrame, own: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """The rows of own (doc_id, ...) with s, their document's shingle set as bytes."""
-    given = docs.select(F.col(id_col).cast("long").alias("__id"), text_or_empty(text_col).alias("__text"))
-    side = F.broadcast(own) if own.count() <= FEW_ROWS else own  # else texts are shuffled
-    rows = given.join(side, F.col("__id") == F.col("doc_id")).select(*own.columns, "__text")
-    names = own.columns
+    """The rows of own (doc_id, digest, ...) but for these two, with s, the shingle set of their text as bytes.
+
+    Texts are shuffled once, at any size of own: each task hashes its part of own, which has a few numbers a text.
+    """
+    names = [c for c in own.columns if c not in ("doc_id", "digest")]
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), _digest(text_col).alias("digest"), text_or_empty(text_col).alias("text"))
+    side = own.withColumnsRenamed({"doc_id": "own_id", "digest": "own_digest"}).hint("shuffle_hash")
+    rows = given.join(side, (F.col("doc_id") == F.col("own_id")) & (F.col("digest") == F.col("own_digest"))).select(*names, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packed = [shingle_set(t.as_py(), width).tobytes() for t in batch.column(len(names))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], [*names, "s"])
 
-    return rows.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema) + ", s binary")
+    return rows.mapInArrow(run, ", ".join(f"{c} {own.schema[c].dataType.simpleString()}" for c in names) + ", s binary")
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, twentieths: int = TWENTIETHS, reach: int = REACH) -> DataFrame:
-    """doc_id and class_id (smallest doc_id reachable) of every row with an id, by similarity of word shingles.
-
-    Texts link if they are equal or their sets of `width`-word shingles have a Jaccard similarity of at least
-    twentieths / 20.  Blocks of equal fingerprint bits can't find pairs 10 bits apart, so documents meet
-    under MinHash bands (at similarity 0.8 a pair shares one of them but for 1 in 10,000); pairs beyond
-    `reach` bits are discarded by pivot distances and fingerprints.  What hangs together after that is compared in
-    full, on the shingle sets of whole texts, and gives a spanning forest of its links, never the pairs.  A
-    group above BLOCK_BYTES of sets is dealt out in blocks: each block first meets itself and the first one, and only where that
-    leaves more than one class do all blocks meet each other.
-    Exact copies are folded first.  Rows that share an id are one document; those without an id are left out.
-    """
+def _classed(docs: DataFrame, id_col: str, text_col: str, width: int, twentieths: int, reach: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id and digest of every row with an id; and digest, class_id and class_digest of every distinct text (see classes())."""
     sketch = materialize(_sketches(docs, id_col, text_col, width), "sketches")
-    folded = sketch.groupBy("digest").agg(F.min(F.struct("doc_id", "fp", "keys", "n")).alias("m"))
-    reps = materialize(folded.select("digest", "m.*"), "distinct-texts")
-    grouped = materialize(_candidates(reps.select("doc_id", "fp", "keys"), reach), "candidates").join(reps.groupBy("doc_id").agg(F.max("n").alias("n")), "doc_id")
-    sizes = grouped.groupBy("cc").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") * 8 / BLOCK_BYTES).cast("int")).alias("blocks"))
-    placed = materialize(grouped.join(sizes, "cc").select("doc_id", "cc", "blocks", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("blk")), "blocks")
+    folded = sketch.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("fp", "keys", "n")])
+    reps = materialize(folded.withColumn("nid", F.monotonically_increasing_id()), "distinct-texts")
+    hot = _hot_keys(reps)
+    entries = _entries(reps, hot)
+    grouped = materialize(_candidates(entries, reach), "candidates").join(reps.select("nid", "doc_id", "digest", "n"), "nid")
+    grouped = materialize(grouped, "candidate-texts")
+    sizes = grouped.groupBy("cc").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("long").alias("blocks"))
+    placed = grouped.join(sizes, "cc").select("nid", "doc_id", "digest", "cc", "blocks", F.pmod(F.xxhash64("nid"), F.col("blocks")).alias("blk"))
+    sets = materialize(_shingled(docs, placed, id_col, text_col, width), "shingle-sets")
     # Block 0 goes to every other block, so each comes back about twice in all.
-    first = F.when(F.col("blocks") == 1, F.array(F.lit(0))).when(F.col("blk") == 0, F.sequence(F.lit(1), F.greatest(F.col("blocks") - 1, F.lit(1)))).otherwise(F.array("blk"))
-    own = _shingled(docs, placed, id_col, text_col, width)
-    edges = materialize(_verified(own.select("cc", F.lit(0).alias("i"), F.explode(first).alias("j"), "doc_id", "s"), twentieths), "links")
+    first = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).when(F.col("blk") == 0, F.sequence(F.lit(1).cast("long"), F.greatest(F.col("blocks") - 1, F.lit(1)))).otherwise(F.array("blk"))
+    edges = materialize(_verified(sets.select("cc", F.explode(first).alias("j"), "nid", "s"), ["cc", "j"], twentieths), "links")
     found = components(edges)
-    split = placed.filter("blocks > 2").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").groupBy("cc").agg(F.count_distinct(F.coalesce("root", "doc_id")).alias("left")).filter(F.col("left") > 1)
-    rest = materialize(placed.join(split.select("cc"), "cc", "left_semi").filter("blk > 0"), "open-blocks")
+    # Groups of several blocks that still have several classes: texts of different classes meet under their keys.
+    label = sets.filter("blocks > 2").select("nid", "cc").distinct().join(found.withColumnRenamed("node", "nid"), "nid", "left").select("nid", "cc", F.coalesce("root", "nid").alias("label"))
+    several = label.groupBy("cc").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("cc")
+    rest = materialize(label.join(several, "cc", "left_semi").select("nid", "label"), "open-texts")
     if not rest.isEmpty():
-        other = F.filter(F.sequence(F.lit(1), F.col("blocks") - 1), lambda k: k != F.col("blk"))
-        meets = _shingled(docs, rest, id_col, text_col, width).select("cc", "doc_id", "s", "blk", F.explode(other).alias("o"))
-        more = meets.select("cc", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "doc_id", "s")
-        found = components(edges.unionByName(_verified(more, twentieths)))
-    label = reps.select("digest", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("digest", F.coalesce("root", "doc_id").alias("class_id"))
-    return sketch.select("doc_id", "digest").join(label, "digest").select("doc_id", "class_id")
+        open_reps = reps.join(rest.select("nid"), "nid", "left_semi")
+        under = materialize(_entries(open_reps, hot).select("key", "nid"), "open-entries")
+        heads = under.select(F.col("key").alias("nid")).join(rest.select("nid"), "nid", "left_semi").distinct()
+        under = under.unionByName(heads.select(F.col("nid").alias("key"), "nid")).join(rest, "nid")  # a lead stands among those that have it
+        mixed = under.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
+        meets = under.join(mixed, "key", "left_semi").select("key", "nid").join(sets.select("nid", "s"), "nid")
+        found = components(edges.unionByName(_verified(meets, ["key"], twentieths)))
+    named = reps.select("nid", "digest", "doc_id").join(found.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+    tops = named.groupBy("root").agg(F.min(F.struct("doc_id", "digest")).alias("top"))
+    label = named.select("digest", "root").join(tops, "root").select("digest", F.col("top.doc_id").alias("class_id"), F.col("top.digest").alias("class_digest"))
+    return sketch.select("doc_id", "digest"), materialize(label, "text-classes")
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, twentieths: int = TWENTIETHS, reach: int = REACH) -> DataFrame:
+    """doc_id and class_id (smallest doc_id of the class) of every row with an id, by similarity of word shingles.
+
+    Texts link if they are equal or their sets of `width`-word shingles have a Jaccard similarity of at least
+    twentieths / 20.  Blocks of equal fingerprint bits can't find pairs 10 bits apart, so texts meet under MinHash
+    bands (at similarity 0.8 a pair shares one of them but for 1 in 10,000); pairs beyond `reach` bits are
+    discarded by pivot distances and fingerprints.  What hangs together after that is compared in full, on the
+    shingle sets of whole texts, and gives a spanning forest of its links, never the pairs.
+
+    A key that very many texts share is parted by further bands, so no group grows with the corpus.  A group above
+    BLOCK_BYTES of sets is dealt out in blocks, each of which meets itself and the first one; where that
+    leaves several classes, texts of different classes meet under the keys they share.
+
+    Exact copies are folded first.  Rows that share an id but not a text are texts of their own; rows without an id are
+    left out.  A null text is empty, and texts without words are alike.  An empty table gives no rows; further columns
+    are not read.
+    """
+    rows, label = _classed(docs, id_col, text_col, width, twentieths, reach)
+    return rows.join(label, "digest").select("doc_id", "class_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: int) -> DataFrame:
-    """The rows of docs that stand for their classes (see classes()): those whose id is the class's smallest.
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, twentieths: int = TWENTIETHS, reach: int = REACH) -> DataFrame:
+    """One row of docs for each class (see classes()): that of the smallest id, then of the smallest digest.
 
-    Rows that repeat a staying id leave one row; rows without an id all stay.  An empty table gives no rows.
+    Rows without an id all stay.  Of rows that repeat both the staying id and its text, the first in the order of all columns' hash stays.  Columns may
+    have any names.  An empty table gives no rows.
     """
-    known = materialize(classes(docs, id_col, text_col, **how), "classes")
-    staying = known.filter("doc_id = class_id")
-    repeats = not staying.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
-    out = docs.join(staying.select(F.col("doc_id").alias("__id")).distinct(), F.col(id_col) == F.col("__id"), "left_semi")
-    out = out.dropDuplicates([id_col]) if repeats else out
-    return out.unionByName(docs.filter(F.col(id_col).isNull()))
+    rows, label = _classed(docs, id_col, text_col, width, twentieths, reach)
+    i, d, win_i, win_d, place = unused(docs.columns, "own_id", "own_digest", "win_id", "win_digest", "place")
+    winners = label.select(F.col("class_id").alias(win_i), F.col("class_digest").alias(win_d)).distinct()
+    same = (F.col(i) == F.col(win_i)) & (F.col(d) == F.col(win_d))
+    # Texts are shuffled at any size of the winners, of which each task hashes its part.
+    out = docs.withColumns({i: F.col(id_col).cast("long"), d: _digest(text_col)}).join(winners.hint("shuffle_hash"), same, "left_semi")
+    again = materialize(rows.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias(win_i), F.col("digest").alias(win_d)), "repeated-rows")
+    if not again.isEmpty():
+        order = Window.partitionBy(i, d).orderBy(F.xxhash64(*[F.to_json(F.struct(F.col(c).alias("x"))) for c in docs.columns]))
+        one = out.join(again, same, "left_semi").withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).drop(place)
+        out = out.join(again, same, "left_anti").unionByName(one)
+    return out.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
