@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, materialize, n_words, text_or_empty
+from .common import documents, materialize, n_words, text_or_empty, unused
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -57,8 +57,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """id, source, size, source_size, target, taken: how many words of each row the mix takes.
 
     whole=False cuts the document at the edge of the budget to the word; whole=True takes it or leaves
-    it, whichever comes nearer.  A null text has no words and is never taken; null sources are a
-    source of their own; rows that repeat are rows of their own; an empty table gives no rows.
+    it, whichever comes nearer.  A null text has no words and is never taken; a text of any length counts whole; null
+    sources are a source of their own; rows that repeat are rows of their own; an empty table gives no rows; further
+    columns are not read.
     """
     rows = materialize(
         docs.select(
@@ -98,17 +99,34 @@ def _checked(small: DataFrame, most_rows: int = 100_000) -> DataFrame:
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of docs that whole documents of the mix make up, each as often as it is taken.
 
-    The rows keep their columns.  A document of no words is never taken.  Ids that repeat with texts of
-    the same size are told apart by nothing, so each of them is taken as often as the first.
+    The rows keep their columns, which may have any names.  A document of no words (null, empty) is never taken; texts of any length are
+    taken whole; null sources are a source of their own; an empty table gives no rows.  Of rows that share id, source and size,
+    as many are taken as the mix takes, those of the smallest text hash most often.
     """
-    taken = mix(docs, id_col, text_col, source_col, whole=True).filter("taken > 0")
-    times = taken.groupBy("doc_id", "source", "size").agg(F.max(F.expr("taken div size")).alias("__times"))
-    times = times.select(F.col("doc_id").alias("__id"), F.col("source").alias("__src"), F.col("size").alias("__size"), "__times")
-    joined = docs.withColumn("__words", n_words(text_or_empty(text_col))).join(
-        times,
-        F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__src")) & (F.col("__words") == F.col("__size")),
-    )
-    return joined.withColumn("__epoch", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(*[docs[c] for c in docs.columns])
+    words, own_id, own_source, own_size, place, nth, times, epoch = unused(docs.columns, "words", "own_id", "own_source", "own_size", "place", "nth", "times", "epoch")
+    taken = materialize(mix(docs, id_col, text_col, source_col, whole=True).select("doc_id", "source", "size", "taken"), "mix-taken")
+    key = ["doc_id", "source", "size"]
+    again = materialize(taken.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*key), "mix-repeats")
+    named = {"doc_id": own_id, "source": own_source, "size": own_size}
+    at_home = [F.col(id_col).eqNullSafe(F.col(own_id)), F.col(source_col).eqNullSafe(F.col(own_source)), F.col(words) == F.col(own_size)]
+    same = at_home[0] & at_home[1] & at_home[2]
+    often = F.expr("taken div size").alias(times)
+    repeated = [F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in key]
+    sized = docs.withColumn(words, n_words(text_or_empty(text_col)))
+    some = taken.filter("taken > 0")
+    if again.isEmpty():
+        joined = sized.join(some.select(*[F.col(c).alias(n) for c, n in named.items()], often), same)
+    else:
+        # Rows that share a key are numbered on both sides; all others have number 1.
+        twice = again.select(*[F.col(c).alias(n) for c, n in named.items()])
+        ours = sized.join(twice, same, "left_semi").withColumn(nth, F.row_number().over(Window.partitionBy(id_col, source_col, words).orderBy(F.xxhash64(text_or_empty(text_col)))))
+        ours = ours.unionByName(sized.join(twice, same, "left_anti").withColumn(nth, F.lit(1)))
+        of_mix = some.join(again.select(*[F.col(c).alias(f"r_{c}") for c in key]), repeated[0] & repeated[1] & repeated[2], "left_semi")
+        of_mix = of_mix.withColumn(place, F.row_number().over(Window.partitionBy(*key).orderBy(F.col("taken").desc())))
+        rest = some.join(again.select(*[F.col(c).alias(f"r_{c}") for c in key]), repeated[0] & repeated[1] & repeated[2], "left_anti").withColumn(place, F.lit(1))
+        theirs = of_mix.unionByName(rest).select(*[F.col(c).alias(n) for c, n in named.items()], place, often)
+        joined = ours.join(theirs, same & (F.col(nth) == F.col(place)))
+    return joined.withColumn(epoch, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*docs.columns)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
