@@ -249,7 +249,7 @@ def fit_rows(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> DataFr
     known = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     few = known.withColumn("__o", order).orderBy("__o", "doc_id").limit(most)
     joined = docs.select("doc_id", text_or_empty().alias("text"), "lang").join(F.broadcast(few), "doc_id")  # `most` rows
-    return materialize(joined.coalesce(32), "labelled-texts")
+    return materialize(joined, "labelled-texts")
 
 
 def trained(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, most_words: int = FIT_WORDS) -> Model:
@@ -261,7 +261,7 @@ def trained(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, most_words
     for r in fit_rows(docs, labels, most).orderBy("__o", "doc_id", F.md5(F.col("text").cast("binary"))).toLocalIterator():
         n = len(r["text"].split())
         if words + n > most_words:
-            break
+            continue  # a text too long for what is left; shorter ones may fit
         words += n
         texts.append(r["text"])
         toxic.append(r["toxic"])
