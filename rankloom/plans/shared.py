@@ -24,10 +24,12 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir.
 
-    Only where a session names none (local tests) a temporary folder is made and set.
+    Only where a local session names none (tests) a temporary folder is made and set.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not named and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not named:
         own = tempfile.mkdtemp(prefix="rankloom-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
