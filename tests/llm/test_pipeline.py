@@ -78,3 +78,35 @@ def test_near_dedup_of_odd_rows(spark):
     docs = frame(spark, group + odd)
     assert sorted(str(r["doc_id"]) for r in one_of_each(docs).select("doc_id").collect()) == ["0", "500", "600", "None", "None"]
     assert {r["class_id"] for r in classes(docs).filter("doc_id < 90").collect()} == {0}
+
+
+def test_near_dedup_of_many_copies(spark, monkeypatch):
+    """Keys that many texts share are parted and groups dealt out in blocks, and no link between classes is lost."""
+    from rankloom.llm import simhash
+
+    monkeypatch.setattr(simhash, "KEY_SHINGLES", 500)
+    monkeypatch.setattr(simhash, "BLOCK_BYTES", 20_000)
+    rows = []
+    for g, gap in ((1, 1), (2, 11)):
+        base = prose(g, 200).split()
+        for i in range(60):
+            w = list(base)
+            for k in range(0, 200, 40):
+                w[(k + i * gap) % 200] = f"w{g}x{i if gap > 1 else 0}"
+            rows.append((100 * g + i, " ".join(w), "en", "a", 1))
+    rows += [(1000 + i, prose(50 + i, 120), "en", "b", 1) for i in range(20)]
+    got = {r["doc_id"]: r["class_id"] for r in simhash.classes(frame(spark, rows)).collect()}
+    assert got == near(rows)
+
+
+def test_texts_of_one_id_are_kept(spark):
+    """Rows that share an id but not a text are documents of their own; columns may have the names that stages use."""
+    from rankloom.llm import mixing, simhash
+
+    docs = spark.createDataFrame([(1, prose(1, 80)), (1, prose(2, 80)), (2, prose(1, 80)), (1, prose(3, 80))], "doc_id long, text string").selectExpr(
+        "*", "'a' as source", *[f"5 as {c}" for c in ("__id", "__words", "__epoch", "own_id", "own_digest", "words", "times", "epoch", "nth", "place")]
+    )
+    one = simhash.one_of_each(docs)
+    assert one.columns == docs.columns and sorted(r["text"] for r in one.collect()) == sorted([prose(1, 80), prose(2, 80), prose(3, 80)])
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and 5 <= mixed.count() <= 7  # 1.5 times four texts of one size

@@ -12,6 +12,7 @@ import xxhash
 from rankloom.llm import registry
 
 from ..conftest import canonical
+from .conftest import prose
 
 COLUMNS = {
     "op1_sharding": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
@@ -69,6 +70,21 @@ def test_op1(spark, sf, rows):
     assert all(sorted(s) == list(range(len(s))) for s in by.values())
 
 
+def test_op1_by_brute_force(spark):
+    """Every shard and its score's winner, computed one by one from the hash."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    from rankloom.llm.sharding import rendezvous
+
+    weights = [1.0, 2.0, 0.5, 1.0, 3.0]
+    got = spark.range(300).select("id", rendezvous(F.col("id"), 5, weights).alias("s"), *[F.xxhash64("id", F.lit(k)).alias(f"h{k}") for k in range(5)]).collect()
+    for r in got:
+        score = [weights[k] / -math.log((((r[f"h{k}"] % (1 << 64)) >> 11) + 0.5) / (1 << 53)) for k in range(5)]
+        assert r["s"] == score.index(max(score))
+
+
 def test_op1_weights_and_moves(spark):
     from pyspark.sql import functions as F
 
@@ -198,6 +214,34 @@ def test_op4_labels_held_out(spark, tmp_path):
     assert right >= 0.95 * len(out)
 
 
+def test_op4_responses_are_convolutions():
+    """A score from cached word responses, in chunks, is that of the plain convolution over the whole text."""
+    from rankloom.llm import toxicity
+
+    texts = [prose(k, 30) + (" vile slur" if k % 3 == 0 else "") for k in range(60)]
+    model = toxicity.fit(texts, np.array([int(k % 3 == 0) for k in range(60)]), ["en"] * 60)
+    long = " ".join(texts) * 40
+    for text in ("", "one", texts[0], long):
+        words = toxicity.Vocabulary()
+        ids = words.numbers(text)
+        pad = max(toxicity.WIDTHS) - 1
+        e = np.concatenate([toxicity.embed(model.table, words.bags)[ids], np.zeros((pad + (not len(ids)), toxicity.DIM))])
+        n = len(e) - pad
+        pooled = np.concatenate([sum(e[j : n + j] @ t[j] for j in range(len(t))).max(axis=0) for t in model.taps]) + model.bias
+        want = np.maximum(pooled, 0) @ model.out[:-1] + model.out[-1] + model.shift
+        assert abs(model.logit(text) - want) < 1e-3
+
+
+def test_op4_long_text_does_not_end_the_fit(spark):
+    """A labelled text longer than the fit's words is left out, the others are fitted."""
+    from rankloom.llm import toxicity
+
+    docs = spark.createDataFrame([(i, "word " * (5000 if i % 2 else 5) + ("slur" if i % 4 == 0 else ""), "en") for i in range(60)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = toxicity.trained(docs, labels, most_words=1000)
+    assert model.score("word word slur") > model.score("word word word")
+
+
 def simhash(text):
     """Bit by bit, as the contract says."""
     lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
@@ -283,6 +327,18 @@ def test_op6_sketches_merge(spark):
     assert show(parts) == show(sketches(df))
 
 
+def test_op6_sketch_error(spark):
+    """A bucket's largest value lies above all its values by less than 1 part in FINE, for values of any size; larger values have no smaller bucket."""
+    from pyspark.sql import functions as F
+
+    from rankloom.llm.quality import FINE, bucket, highest
+
+    values = sorted({*range(300), *[(1 << k) + d for k in range(8, 51) for d in (-1, 0, 1, 7)]})
+    got = spark.createDataFrame([(v,) for v in values], "v long").select("v", bucket(F.col("v")).alias("b"), highest(bucket(F.col("v"))).alias("h")).orderBy("v").collect()
+    assert all(r["v"] <= r["h"] <= r["v"] * (1 + 1 / FINE) for r in got)
+    assert all(x["b"] <= y["b"] for x, y in zip(got, got[1:], strict=False))
+
+
 def test_op7_pages(spark, sf):
     got = {r["page_id"]: r["text"] for r in run(spark, "op7_html_extraction", sf)}
     assert got[1] == got[4] == "A & B\nFirst line of the story, long enough to be taken as text.\nSecond one."
@@ -305,6 +361,46 @@ def test_op7_boilerplate():
         assert isinstance(main_text(odd), str)
 
 
+PARAGRAPH = "A paragraph of the story which goes on for a while and says what there is to say about the matter at hand. " * 3
+
+
+@pytest.mark.parametrize("tag", ["article", "div"])
+@pytest.mark.parametrize("marks", ["story", "post type-post tag-politics", "post category-legal hentry", "post has-sidebar", "content with-sidebar", "content no-sidebar", "post search-result", "entry share-enabled"])
+def test_op7_theme_classes(tag, marks):
+    """Tokens that tell of a state or a subject don't make an article boilerplate; parts that are named so go."""
+    from rankloom.llm.htmlmain import main_text
+
+    page = f'<body><div class="site has-sidebar"><{tag} class="{marks}"><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></{tag}><div class="sidebar"><p>Elsewhere.</p></div></div><section class="comments"><p>{PARAGRAPH}</p></section></body>'
+    assert main_text(page) == f"{PARAGRAPH.strip()}\n{PARAGRAPH.strip()}"
+
+
+@pytest.mark.parametrize("bad", ["<div>x", "<a href='x", "<a ", "x<", "<li>x", "<b>x<div>y", "<table><tr>", "<x a='\"", "</div>", "<!--", "<span class='a>'"])
+def test_op7_reads_in_linear_time(bad):
+    """Sixteen times the bad markup takes far less than 256 times as long."""
+    import time
+
+    from rankloom.llm.htmlmain import fitted, main_text
+
+    weights, took = fitted(), []
+    for n in (10_000, 160_000):
+        began = time.process_time()
+        main_text(bad * (n // len(bad)), weights)
+        took.append(time.process_time() - began)
+    assert took[1] < 60 * took[0] + 0.5
+
+
+def test_op7_held_out_pages():
+    """Precision and recall of blocks on pages that the classifier wasn't fitted on."""
+    from rankloom.llm.htmlmain import main_text
+    from rankloom.llm.sitepages import labelled_pages
+
+    right = wrong = lost = 0
+    for page, own in labelled_pages(150, seed=99):
+        got = set(main_text(page).split("\n")) - {""}
+        right, wrong, lost = right + len(got & own), wrong + len(got - own), lost + len(own - got)
+    assert right / (right + wrong) > 0.97 and right / (right + lost) > 0.97
+
+
 def test_op7_cut_is_minimal():
     """The labels cost no more than those of any other labelling."""
     import itertools
@@ -366,6 +462,21 @@ def test_op9(spark, sf, rows, keys_bytes, filter_bytes):
     assert got == kept_lines(rows)
 
 
+@pytest.mark.parametrize("filter_bytes", [1 << 26, 64])
+def test_op9_counts_documents(spark, filter_bytes):
+    """Rows that share an id count once, rows without one never; internal names may be columns."""
+    from rankloom.llm.linededup import drop_lines
+
+    line = "x" * 72
+    rows = [(i, f"{line}\nown {k}", 7) for k, i in enumerate([1, 1, 1, 2, 3, None, None])]
+    dropped = lambda rows: sorted((str(r["doc_id"]), r["__n_dropped"], r["row"]) for r in drop_lines(spark.createDataFrame(rows, "doc_id long, text string, row int"), filter_bytes=filter_bytes, keys_bytes=0).collect())
+    assert {d for _, d, _ in dropped(rows)} == {0}
+    got = dropped([*rows, (4, line, 7), (5, line, 7)])
+    assert got == sorted([("1", 1, 7)] * 3 + [("2", 1, 7), ("3", 1, 7), ("4", 1, 7), ("5", 0, 7)] + [("None", 1, 7)] * 2)
+    with pytest.raises(ValueError):
+        drop_lines(spark.createDataFrame([(1, "a", 1)], "doc_id long, text string, __n_lines int"))
+
+
 def test_op9_query(spark, sf, rows):
     got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in run(spark, "op9_line_dedup", sf)}
     assert got == {i: (n, d, hashlib.sha256(t.encode()).hexdigest()) for i, (t, n, d) in kept_lines(rows).items()}
