@@ -107,3 +107,15 @@ def split(members: DataFrame, train: float = 0.70, val: float = 0.15, seed: int
     trained = placed.filter(F.col("at") < want_train).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t")).first()["t"]
     named = F.when(F.col("at") < want_train, "train").when(F.col("at") - trained < want_val, "val").otherwise("test")
     return members.join(placed.select("component", named.alias("split")), "component").select("q", "component", "split")
+
+
+def numbered_names(table: DataFrame, name: str, parts: int = 1024) -> DataFrame:
+    """name and at: the distinct names that aren't null, numbered from 0.
+
+    Names fall into hash parts; counts of the parts before (`parts` rows) plus the place in the own part give the number.
+    """
+    own = table.select(F.col(name).alias("name")).filter("name is not null").distinct().withColumn("part", F.pmod(F.xxhash64("name"), F.lit(parts)))
+    before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = own.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("name")) - 1
+    return own.withColumn("place", place).join(starts, "part").select("name", (F.col("start") + F.col("place")).cast("long").alias("at"))

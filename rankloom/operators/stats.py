@@ -5,10 +5,11 @@ Signs and resamples come from hashes, so results are the same on any cluster and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .datasets import hash_number
+from .store import number_pages
 
 
 def paired(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -46,8 +47,7 @@ def bootstrap_interval(pairs: DataFrame, n: int = 10_000, alpha: float = 0.05, s
     drawn is counted before it meets the difference.
     """
     rows = pairs.count()
-    order = Window.partitionBy(F.lit(0)).orderBy("pos")
-    numbered = pairs.select("diff", (F.row_number().over(order) - 1).cast("long").alias("at"))  # one number per query of the comparison
+    numbered = number_pages(pairs.select("pos", "diff", F.lit(0).alias("all")), "all", "pos", "at").select("diff", (F.col("at") - 1).cast("long").alias("at"))
     slots = pairs.sparkSession.range(rows).select(F.col("id").alias("j"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
     drawn = slots.select("i", F.pmod(hash_number("i", "j", F.lit(seed)), F.lit(max(rows, 1))).alias("at"))
     means = drawn.join(numbered, "at").groupBy("i").agg(F.round(F.avg("diff"), 12).alias("m"))

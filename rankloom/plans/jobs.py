@@ -78,8 +78,13 @@ def single_hop(
     numbered = drawn.withColumn("row_index", F.xxhash64("file", "draw")).join(best, "file")
     numbered = store.missing(numbered, done, ["row_index"]) if done is not None else numbered
     pick = lambda options, salt: F.element_at(F.array(*map(F.lit, options)), (F.pmod(datasets.hash_number("row_index", F.lit(f"{salt}{seed}")), F.lit(len(options))) + 1).cast("int"))
-    names = [r["name"] for r in personas.select("name").orderBy("name").limit(1000).collect()] if personas is not None else ["reader"]
-    rows = numbered.withColumns({"query_style": pick(styles, "s"), "query_length": pick(lengths, "l"), "persona_name": pick(names or ["reader"], "p")})
+    rows = numbered.withColumns({"query_style": pick(styles, "s"), "query_length": pick(lengths, "l")})
+    people = materialize(datasets.numbered_names(personas, "name"), "personas") if personas is not None else None
+    if people is None or not (n_people := people.count()):
+        rows = rows.withColumn("persona_name", F.lit("reader"))
+    else:
+        drawn_at = F.pmod(datasets.hash_number("row_index", F.lit(f"p{seed}")), F.lit(n_people)).cast("long")
+        rows = rows.withColumn("at", drawn_at).join(people.withColumnRenamed("name", "persona_name"), "at").drop("at")
     ask = F.concat(F.lit('Write a question that this page alone answers, as JSON {"query", "answer"}. Style: '), "query_style", F.lit(", length: "), "query_length", F.lit(", asked by: "), "persona_name", F.lit("\n\n"), text.truncate_for_judge("text"))
     got = materialize(complete(rows, make, ask), "generated")
     reply = text.json_object("response")

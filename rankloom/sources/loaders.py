@@ -7,6 +7,7 @@ isn't there raise LookupError; a loader of one's own can be registered for any e
 from __future__ import annotations
 
 import csv
+import importlib.util
 import io
 import json
 import re
@@ -149,6 +150,8 @@ def load_xlsx(data: bytes, name: str) -> list[Page]:
 
 def load_xls(data: bytes, name: str) -> list[Page]:
     """Old workbooks need the xlrd library; a file that can't be read gives a placeholder, as others go on."""
+    if importlib.util.find_spec("xlrd") is None:
+        raise LookupError("XLS files need the xlrd library")
     import pandas as pd
 
     try:

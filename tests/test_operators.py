@@ -327,3 +327,12 @@ def test_knowledge(spark):
     for bad in (["x"], ["a=0"], ["a=no"], []):
         with pytest.raises(ValueError):
             knowledge.query_mix(bad, ["a"])
+
+
+def test_numbered_names(spark):
+    """All distinct names, however many, have numbers from 0 without gaps."""
+    from rankloom.operators.datasets import numbered_names
+
+    people = spark.range(3000).selectExpr("concat('n', id % 2500) as name").unionByName(spark.createDataFrame([(None,)], "name string"))
+    got = numbered_names(people, "name").collect()
+    assert len({r["name"] for r in got}) == 2500 and sorted(r["at"] for r in got) == list(range(2500))

@@ -133,3 +133,14 @@ def test_profiles_personas_leaderboard(spark, tmp_path):
     assert {(r["config_key"], r["run"]) for r in tables.update_leaderboard(board, runs, "m").collect()} == {("k", "old"), ("l", "new")}
     tables.write_splits(spark.createDataFrame([(1, "train"), (2, "test")], "q long, split string"), str(tmp_path / "s"))
     assert spark.read.parquet(str(tmp_path / "s")).filter(F.col("split") == "test").count() == 1
+
+
+def test_xls_without_its_library(monkeypatch):
+    """A missing library is told, not taken for an unreadable file."""
+    import pytest
+
+    from rankloom.sources import loaders
+
+    monkeypatch.setattr(loaders.importlib.util, "find_spec", lambda name: None)
+    with pytest.raises(LookupError):
+        loaders.load_xls(b"", "a.xls")
