@@ -331,17 +331,6 @@ def model_bytes(path: str | None = None) -> bytes:
         return f.read()
 
 
-def digests(tokens: DataFrame) -> DataFrame:
-    """Token counts and digests of what encoded() returns."""
-    return tokens.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-        F.coalesce(F.try_element_at(F.col("span_ends"), F.lit(-1)), F.lit(0)).cast("long").alias("span_bytes"),
-    )
-
-
 def op3_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     """Every document's ids, decoded text and spans as digests.
 
