@@ -21,12 +21,15 @@ PROFILE_LIMITS = {"topics": 12, "key_entities": 12, "likely_user_intents": 8}
 
 
 def read_dataset(spark: SparkSession, path: str, required: tuple[str, ...] = REQUIRED) -> DataFrame:
-    """A dataset in CSV, JSON (an array), JSON lines or Parquet, by the ending of its path; all columns of text files are strings."""
+    """A dataset in CSV, JSON (an array, or lines as write_dataset() leaves them), JSON lines or Parquet, by the ending of its path.
+
+    All columns of text files are strings.
+    """
     kind = path.rstrip("/").rpartition(".")[2].lower()
     if kind == "csv":
         rows = spark.read.options(header=True, multiLine=True, escape='"').csv(path)
     elif kind in ("json", "jsonl"):
-        rows = spark.read.options(multiLine=kind == "json", primitivesAsString=True).json(path)
+        rows = spark.read.options(multiLine=kind == "json" and not _in_lines(spark, path), primitivesAsString=True).json(path)
     elif kind == "parquet":
         rows = spark.read.parquet(path)
     else:
@@ -36,6 +39,12 @@ def read_dataset(spark: SparkSession, path: str, required: tuple[str, ...] = REQ
     return rows
 
 
+def _in_lines(spark: SparkSession, path: str) -> bool:
+    """Whether the first line with anything in it is a whole JSON object."""
+    line = spark.read.text(path).filter("trim(value) <> ''").select((F.ltrim("value").startswith("{") & F.try_parse_json("value").isNotNull()).alias("whole")).first()
+    return bool(line and line["whole"])
+
+
 def write_dataset(rows: DataFrame, path: str, formats: tuple[str, ...] = ("csv", "json", "parquet")) -> list[str]:
     """Write rows under path, a folder per format; lists and structs go to CSV as JSON.  Unknown formats are refused."""
     if unknown := set(formats) - {"csv", "json", "parquet"}:

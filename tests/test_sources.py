@@ -144,3 +144,16 @@ def test_xls_without_its_library(monkeypatch):
     monkeypatch.setattr(loaders.importlib.util, "find_spec", lambda name: None)
     with pytest.raises(LookupError):
         loaders.load_xls(b"", "a.xls")
+
+
+def test_json_datasets_in_lines_and_arrays(spark, tmp_path):
+    """What write_dataset() leaves is read whole, as are arrays on one line or over several."""
+    from rankloom.sources import tables
+
+    rows = spark.range(20).selectExpr("cast(id AS string) AS user_input", "'a (page 1)' AS source_files_with_pages").repartition(3)
+    (path,) = tables.write_dataset(rows, str(tmp_path / "rows"), ("json",))
+    assert tables.read_dataset(spark, path).count() == 20
+    one = '{"user_input": "q", "source_files_with_pages": "s"}'
+    for name, body in (("flat", f"[{one}, {one}]"), ("tall", f"\n[\n{one},\n{one}\n]\n"), ("lines", f"{one}\n{one}\n")):
+        (tmp_path / f"{name}.json").write_text(body)
+        assert tables.read_dataset(spark, str(tmp_path / f"{name}.json")).count() == 2
