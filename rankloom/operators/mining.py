@@ -42,6 +42,12 @@ def renumbered(rows: DataFrame) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("rank")).cast("long"))
 
 
+def first_of_each(rows: DataFrame, by: list[str], order: str) -> DataFrame:
+    """Of the rows of equal `by` the first in the order of a column; the others are suppressed.  Its minimum is taken before the shuffle."""
+    whole = F.struct(*rows.columns)
+    return rows.groupBy(*by).agg(F.min_by(whole, order).alias("__row")).select("__row.*")
+
+
 def bm25_candidates(queries: DataFrame, pages: DataFrame, excluded: DataFrame, limits: Limits = Limits()) -> tuple[DataFrame, DataFrame]:
     """The BM25 list (q, id, file, page, rank) and the rows that vectors may rerank (q, id, file, page).
 
