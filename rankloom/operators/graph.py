@@ -17,6 +17,8 @@ from .retrieval import matrix
 BLOCK = 1024
 #: Fixed directions that vectors are gathered by, so that far blocks can be told by angle.
 PIVOTS = 64
+#: Blocks of a cell that meet others together, and holders of an entity that meet in one group.
+PART, HOLDERS = 256, 2048
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -98,6 +100,30 @@ def _local(ids_a: np.ndarray, ids_b: np.ndarray, near: np.ndarray) -> np.ndarray
         la, lb = na, nb
 
 
+def _meetings(blocks: DataFrame, angle: float) -> DataFrame:
+    """a, b (a <= b): blocks whose directions lie near enough for vectors within angle of each other.
+
+    Blocks of one pivot form a cell.  Each cell's reach round one of its centers (PIVOTS rows at most, the only thing that comes to
+    the driver) rules out pairs of cells; what remains meets by equal keys, PART blocks a side, and is tested block by block.
+    """
+    from rankloom.functions.vectors import dot
+
+    apart = lambda x, y: F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot(x, y))))
+    placed = blocks.select("block", "center", "radius", F.shiftright("block", 32).alias("cell"), F.floor(F.col("block").bitwiseAND(0xFFFFFFFF) / PART).alias("part"))
+    refs = placed.groupBy("cell").agg(F.min_by("center", "block").alias("ref"), F.max("part").alias("parts"))
+    reach = placed.join(F.broadcast(refs), "cell").groupBy("cell").agg(F.max(apart("center", "ref") + F.col("radius")).alias("reach"))
+    cells = sorted(refs.join(reach, "cell").collect())
+    met = [(x["cell"], x["parts"], y["cell"], y["parts"]) for i, x in enumerate(cells) for y in cells[i:] if np.arccos(np.clip(np.dot(x["ref"], y["ref"]), -1, 1)) <= x["reach"] + y["reach"] + angle + 1e-6]
+    pairs = blocks.sparkSession.createDataFrame(met, "cell_a long, parts_a long, cell_b long, parts_b long")
+    first = pairs.withColumn("part_a", F.explode(F.sequence(F.lit(0).cast("long"), "parts_a")))
+    least = F.when(F.col("cell_a") == F.col("cell_b"), F.col("part_a")).otherwise(F.lit(0).cast("long"))
+    units = first.withColumn("part_b", F.explode(F.sequence(least, "parts_b"))).select("cell_a", "part_a", "cell_b", "part_b")
+    side = lambda n: placed.select(F.col("block").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("cell", "part", "center", "radius")])
+    both = units.join(side("a"), ["cell_a", "part_a"]).join(side("b"), ["cell_b", "part_b"])
+    near = apart("center_a", "center_b") <= F.col("radius_a") + F.col("radius_b") + F.lit(angle + 1e-6)
+    return both.filter((F.col("a") <= F.col("b")) & near).select("a", "b")
+
+
 def similarity_links(vectors: DataFrame, threshold: float) -> DataFrame:
     """id, n_links, class_id for every row of vectors (id, vec): links are cosines of at least threshold.
 
@@ -107,12 +133,7 @@ def similarity_links(vectors: DataFrame, threshold: float) -> DataFrame:
     """
     blocks = _packed(vectors)
     angle = float(np.arccos(np.clip(threshold - 1e-6, -1, 1)))
-    from rankloom.functions.vectors import dot
-
-    own = blocks.select(F.col("block").alias("a"), F.col("center").alias("ca"), F.col("radius").alias("ra"))
-    other = blocks.select(F.col("block").alias("b"), F.col("center").alias("cb"), F.col("radius").alias("rb"))
-    apart = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot("ca", "cb"))))
-    meets = own.join(other, (F.col("a") <= F.col("b")) & (apart <= F.col("ra") + F.col("rb") + F.lit(angle + 1e-6))).select("a", "b")
+    meets = _meetings(blocks, angle)
     side = lambda p: blocks.select(F.col("block").alias(p), F.col("ids").alias(f"i{p}"), F.col("m").alias(f"m{p}"))
     work = materialize(meets, "block-pairs").repartition("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "ia", "ma", "ib", "mb")
 
@@ -149,7 +170,23 @@ def near_duplicate_flags(candidates: DataFrame, positives: DataFrame, vectors: D
     return candidates.join(sims, ["q", "id"], "left").withColumn("near_dup", F.coalesce(F.col("max_sim") >= threshold, F.lit(False)))
 
 
-def entity_overlap(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _shared(reps: DataFrame, holders: int) -> DataFrame:
+    """a, b, na, nb, shared of the pairs a < b of reps (node, n, entity) that share entities.
+
+    The holders of an entity that more than `holders` nodes have are dealt to parts of about that many, and parts
+    meet in pairs, so no group of a join grows with the entity.
+    """
+    parts = reps.groupBy("entity").agg(F.ceil(F.count(F.lit(1)) / holders).cast("int").alias("parts"))
+    dealt = reps.join(parts, "entity").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    left = dealt.select("entity", F.col("part").alias("lo"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("hi"), F.col("node").alias("x"), F.col("n").alias("nx"))
+    right = dealt.select("entity", F.explode(F.sequence(F.lit(0), "part")).alias("lo"), F.col("part").alias("hi"), F.col("node").alias("y"), F.col("n").alias("ny"))
+    met = left.join(right, ["entity", "lo", "hi"]).filter((F.col("x") < F.col("y")) | ((F.col("lo") < F.col("hi")) & (F.col("x") > F.col("y"))))
+    ahead = F.col("x") < F.col("y")
+    own = met.select(*[F.when(ahead, F.col(p)).otherwise(F.col(q)).alias(n) for p, q, n in (("x", "y", "a"), ("y", "x", "b"), ("nx", "ny", "na"), ("ny", "nx", "nb"))])
+    return own.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
+
+
+def entity_overlap(pairs: DataFrame, holders: int = HOLDERS) -> tuple[DataFrame, DataFrame]:
     """Of pairs (node, entity): links (a, b, shared, jaccard) between representatives, and membership (node, rep).
 
     Nodes of equal entity sets are folded into the smallest of them first.
@@ -158,7 +195,6 @@ def entity_overlap(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     w = Window.partitionBy("key")
     members = sets.withColumn("key", F.sha2(F.to_json("set").cast("binary"), 256)).withColumn("rep", F.min("node").over(w)).select("node", "rep", "set")
     reps = members.filter("node = rep").select(F.col("node"), F.size("set").alias("n"), F.explode("set").alias("entity"))
-    left, right = reps.toDF("a", "na", "entity"), reps.toDF("b", "nb", "entity")
-    links = left.join(right, "entity").filter("a < b").groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
+    links = _shared(reps, holders)
     links = links.select("a", "b", "shared", (F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))).alias("jaccard"))
     return links, members.select("node", "rep")

@@ -233,12 +233,11 @@ def sampled_files(spark, sf_dir):
     return datasets.sampled(files, 5, "file").select("file")
 
 
-@query(f"WITH {_PG}, {_BM}, r AS (SELECT q, pg.file, id, row_number() OVER (PARTITION BY q, pg.file ORDER BY score DESC, id) AS n FROM sc JOIN pg ON pg.doc_id = sc.id WHERE score > 0) SELECT q, file, id FROM r WHERE n = 1")
+@query(f"WITH {_PG}, {_BM}, k AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, id) AS rank FROM sc WHERE score > 0), r AS (SELECT q, pg.file, id, row_number() OVER (PARTITION BY q, pg.file ORDER BY rank) AS n FROM k JOIN pg ON pg.doc_id = k.id WHERE rank <= 50) SELECT q, file, id FROM r WHERE n = 1")
 def first_page_of_each_file(spark, sf_dir):
-    """Per query the best page of each file; later ones of a file are suppressed."""
+    """Of each query's 50 best pages the first of every file; later ones of a file are suppressed."""
     pg = pages(spark, sf_dir)
-    n = pg.count()
-    ranked = bm25.bm25_topk(benchmark(spark, sf_dir), pg.select(F.col("doc_id").alias("id"), "text"), max(n, 1))
+    ranked = bm25.bm25_topk(benchmark(spark, sf_dir), pg.select(F.col("doc_id").alias("id"), "text"), 50)
     return mining.first_of_each(ranked.join(pg.select(F.col("doc_id").alias("id"), "file"), "id"), ["q", "file"], "rank").select("q", "file", "id")
 
 

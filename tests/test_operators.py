@@ -336,3 +336,31 @@ def test_numbered_names(spark):
     people = spark.range(3000).selectExpr("concat('n', id % 2500) as name").unionByName(spark.createDataFrame([(None,)], "name string"))
     got = numbered_names(people, "name").collect()
     assert len({r["name"] for r in got}) == 2500 and sorted(r["at"] for r in got) == list(range(2500))
+
+
+def test_links_of_small_blocks_meet_by_keys(spark, monkeypatch):
+    """Many blocks and parts of a cell: the same links as all pairs, and no join without equal keys."""
+    monkeypatch.setattr(graph, "BLOCK", 8)
+    monkeypatch.setattr(graph, "PART", 2)
+    rng = np.random.default_rng(3)
+    near = rng.normal(size=(12, 6))[rng.integers(0, 12, 600)] + 0.15 * rng.normal(size=(600, 6))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(near)], "id long, vec array<double>")
+    unit = near / np.linalg.norm(near, axis=1, keepdims=True)
+    links = (np.round(unit @ unit.T, 6) >= 0.97) & ~np.eye(600, dtype=bool)
+    assert {r["id"]: r["n_links"] for r in graph.similarity_links(df, 0.97).collect()} == dict(enumerate(links.sum(axis=1).tolist()))
+    plan = graph._meetings(graph._packed(df), 0.2)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    none = spark.createDataFrame([], "id long, vec array<double>")
+    assert graph.similarity_links(none, 0.9).count() == 0
+
+
+def test_hot_entities_are_parted(spark):
+    """An entity that all nodes hold gives the same links in parts of 3 holders as in one group, and as all pairs do."""
+    rng = np.random.default_rng(5)
+    sets = {n: {"all", *(f"e{x}" for x in rng.integers(0, 30, rng.integers(0, 5)))} for n in range(60)}
+    df = spark.createDataFrame([(n, e) for n, s in sets.items() for e in s], "node long, entity string")
+    found = [({(r["a"], r["b"], r["shared"], round(r["jaccard"], 9)) for r in links.collect()}, {r["node"]: r["rep"] for r in members.collect()}) for links, members in (graph.entity_overlap(df, h) for h in (3, 2048))]
+    rep = {n: min(m for m in sets if sets[m] == s) for n, s in sets.items()}
+    tops = sorted(set(rep.values()))
+    want = {(a, b, len(sets[a] & sets[b]), round(len(sets[a] & sets[b]) / len(sets[a] | sets[b]), 9)) for a in tops for b in tops if a < b and sets[a] & sets[b]}
+    assert found[0] == found[1] == (want, rep)
