@@ -10,14 +10,18 @@ from collections.abc import Callable
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from rankloom.operators import clients
 from rankloom.plans import jobs
+from rankloom.plans.progress import watched
 from rankloom.sources import tables
 from rankloom.sources.versions import VersionedTable
 
 
-def provider(spec: str) -> Callable:
-    """The factory that module:name means."""
+def provider(spec: str, kind: Callable = clients.embedder) -> Callable:
+    """The factory that module:name means; http:PREFIX is a service that the environment names (see operators/clients)."""
     module, _, name = spec.partition(":")
+    if module == "http":
+        return kind(name)
     return getattr(importlib.import_module(module), name)
 
 
@@ -54,13 +58,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         rejected = jobs.ingest(spark, args.folder, at("pages"), tuple(k for k in args.kinds.split(",") if k), args.reprocess)
         print(json.dumps({"pages": at("pages").read().count(), "rejected": rejected.count()}))
     elif args.job == "embed":
-        print(json.dumps({"vectors": jobs.embed(at("pages").read(), at("vectors"), provider(args.embedder)).count()}))
+        with watched(spark, "embed"):
+            print(json.dumps({"vectors": jobs.embed(at("pages").read(), at("vectors"), provider(args.embedder)).count()}))
     elif args.job == "profile":
-        print(json.dumps({"profiles": jobs.profile(at("pages").read(), at("profiles"), provider(args.generator)).count()}))
+        with watched(spark, "profile"):
+            print(json.dumps({"profiles": jobs.profile(at("pages").read(), at("profiles"), provider(args.generator, clients.generator)).count()}))
     elif args.job == "generate":
-        tables.write_dataset(jobs.single_hop(at("pages").read(), provider(args.generator), args.n, seed=args.seed), args.out, ("parquet",))
+        tables.write_dataset(jobs.single_hop(at("pages").read(), provider(args.generator, clients.generator), args.n, seed=args.seed), args.out, ("parquet",))
     elif args.job == "validate":
-        verdicts = jobs.materialize(jobs.validate(_rows(spark, args.dataset), at("pages").read(), provider(args.judge)), "verdicts")
+        verdicts = jobs.materialize(jobs.validate(_rows(spark, args.dataset), at("pages").read(), provider(args.judge, clients.generator)), "verdicts")
         tables.write_dataset(jobs.keep_passing(_rows(spark, args.dataset), verdicts), args.out, ("parquet",))
         jobs.quality.validation_report(verdicts, "synthesizer_name").write.mode("overwrite").json(f"{args.out}.report")
     elif args.job == "compare":
@@ -73,7 +79,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         pages = at("pages").read()
         corpus = jobs.materialize(jobs.corpus(pages, at("vectors").read(), make().model), "corpus")
         if args.job == "mine":
-            tables.write_dataset(jobs.mine(rows, queries, pages, corpus.select("id", "vec"), provider(args.judge)), args.out, ("parquet",))
+            tables.write_dataset(jobs.mine(rows, queries, pages, corpus.select("id", "vec"), provider(args.judge, clients.generator)), args.out, ("parquet",))
         else:
             each, summary = jobs.evaluate(rows, queries, corpus)
             tables.write_evaluation(summary, each, args.out)
