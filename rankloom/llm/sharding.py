@@ -53,8 +53,9 @@ def rendezvous(key: Column, n_shards: int, weights: Sequence[float] | None = Non
 def number_slots(df: DataFrame, shard: str, key: Column, order: Sequence[Column], n_rows: int, n_shards: int, out: str) -> DataFrame:
     """Gapless numbers from 0 within each shard, without a task that sees a whole shard.
 
-    Rows fall into hash buckets of about SLOT_BUCKET_ROWS rows; a bucket's first number is the
-    prefix sum of the counts before it, and only its own rows are sorted to number them.
+    Rows fall by key into hash buckets of about SLOT_BUCKET_ROWS rows; a bucket's first number is the
+    prefix sum of the counts before it, and only its own rows are sorted to number them.  Rows of
+    one key share a bucket, so the key should tell apart all rows that differ.
     """
     buckets = max(1, -(-n_rows // (n_shards * SLOT_BUCKET_ROWS)))
     df = df.withColumn("__bucket", F.pmod(F.xxhash64(F.lit("slot"), key), F.lit(buckets)))
@@ -74,8 +75,8 @@ def op1_sharding(spark: SparkSession, sf_dir: str, n_shards: int = 40, weights:
     """All documents dealt to 40 shards of equal weight, with their place in each.
 
     Law ``key``: doc_id and the shard count alone decide.  A null text has no bytes (size 16, CRC
-    of the empty text); a null doc_id is one more key; repeated rows land together in slots next
-    to each other; an empty table gives no rows; further columns are not read.
+    of the empty text); a null doc_id is one more key, whose rows share a shard but are numbered apart
+    by their texts; repeated rows land together in slots next to each other; an empty table gives no rows; further columns are not read.
     """
     docs = documents(spark, sf_dir)
     more = list(weights) if weights is not None else [1.0] * (n_shards + 1)
@@ -97,5 +98,5 @@ def op1_sharding(spark: SparkSession, sf_dir: str, n_shards: int = 40, weights:
         (-F.greatest(F.col("__won"), new)["i"]).cast("int").alias("grown_shard"),
     )
     order = [F.col("doc_id"), F.col("text_crc32"), F.col("size")]
-    out = number_slots(rows, "shard", F.col("doc_id"), order, docs.select("doc_id").count(), n_shards, "slot")
+    out = number_slots(rows, "shard", F.struct("doc_id", "text_crc32", "size"), order, docs.select("doc_id").count(), n_shards, "slot")
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")

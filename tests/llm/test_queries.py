@@ -529,3 +529,17 @@ def test_op10_readers():
     for bad in (b"x y", arc[:-10] + b"http://b 0 0 t 99\nabc", b"http://a 0 0 t 1\nx\n"):
         with pytest.raises(ValueError):
             list(warc.read_arc(io.BytesIO(bad)))
+
+
+def test_op1_null_ids_spread_over_buckets(spark, monkeypatch):
+    """Rows that share a null id are numbered without gaps, in buckets that their texts part."""
+    from pyspark.sql import functions as F
+
+    from rankloom.llm import sharding
+
+    monkeypatch.setattr(sharding, "SLOT_BUCKET_ROWS", 10)
+    rows = spark.range(500).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("shard"), F.crc32(F.col("id").cast("string").cast("binary")).alias("c"))
+    got = sharding.number_slots(rows, "shard", F.struct("doc_id", "c"), [F.col("c")], 500, 1, "slot")
+    assert sorted(r["slot"] for r in got.collect()) == list(range(500))
+    sizes = rows.groupBy(F.pmod(F.xxhash64(F.lit("slot"), F.struct("doc_id", "c")), F.lit(50))).count()
+    assert sizes.agg(F.max("count")).first()[0] < 40
