@@ -41,21 +41,21 @@ def term_frequencies(pages: DataFrame) -> DataFrame:
     return given.mapInArrow(run, "id long, dl long, term string, tf long")
 
 
-def _page_terms(pages: DataFrame) -> DataFrame:
-    """A row per distinct term of a page, without leaving the JVM."""
-    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")
-    return pages.select(F.explode(F.array_distinct(words)).alias("term"))
-
-
 def statistics(pages: DataFrame) -> tuple[DataFrame, dict[str, float]]:
-    """term, df (written) of all pages, and n_pages, avg_len and mean_idf."""
+    """term, df (written) of all pages, and n_pages, avg_len and mean_idf.
+
+    Pages are read once: each gives a row per distinct term and one without a term that carries its length.
+    """
     words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")
-    own = pages.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(words).cast("long")).alias("words")).first()
-    n = own["n"]
-    df = materialize(_page_terms(pages).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "document-frequencies")
+    own = F.transform(F.array_distinct("ws"), lambda w: F.struct(w.alias("term"), F.lit(0).cast("long").alias("len")))
+    whole = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.size("ws").cast("long").alias("len")))
+    each = pages.select(words.alias("ws")).select(F.explode(F.concat(own, whole)).alias("x")).select("x.*")
+    counts = materialize(each.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("len").alias("len")), "document-frequencies")
+    total = counts.filter("term is null").first()
+    n, df = total["df"] if total else 0, counts.filter("term is not null").select("term", "df")
     idf = F.log(F.lit(float(n)) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     mean = df.agg(F.avg(idf).alias("m")).first()["m"] or 0.0
-    return df, {"n_pages": n, "avg_len": (own["words"] or 0) / n if n else 0.0, "mean_idf": mean}
+    return df, {"n_pages": n, "avg_len": (total["len"] or 0) / n if n else 0.0, "mean_idf": mean}
 
 
 def _weights(queries: DataFrame, df: DataFrame, stats: dict[str, float]) -> DataFrame:
@@ -89,15 +89,14 @@ def bm25_topk(queries: DataFrame, pages: DataFrame, k: int, zero_scores: bool =
             for batch in batches:
                 for at in range(0, batch.num_rows, 512):
                     part = batch.slice(at, 512)
-                    score = np.zeros((len(ids), part.num_rows))
-                    for j, text in enumerate(part.column(1)):
+                    found = np.zeros((part.num_rows, len(ids)))
+                    for row, text in zip(found, part.column(1), strict=True):
                         words = text.as_py().lower().split()
                         base = K1 * (1 - B + B * len(words) / avg)
-                        for term, tf in Counter(words).items():
-                            if (t := terms.get(term)) is not None:
-                                q, weight = by_term[t]
-                                score[q, j] += weight * (tf * (K1 + 1) / (tf + base))
-                    score = np.round(score, 6) + 0.0
+                        for term, tf in Counter(filter(terms.__contains__, words)).items():
+                            q, weight = by_term[terms[term]]
+                            row[q] += weight * (tf * (K1 + 1) / (tf + base))
+                    score = np.round(found.T, 6) + 0.0
                     if not zero_scores:
                         score[score <= 0] = -np.inf
                     top.add(score, part.column(0).to_numpy())
