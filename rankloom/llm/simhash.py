@@ -194,10 +194,10 @@ def hex16(fp: Column) -> Column:
 WIDTH, TWENTIETHS, REACH = 5, 16, 22
 #: MinHash bands under which one_of_each() looks for pairs, and values in each.
 BANDS, ROWS = 32, 6
-#: Shingles of the texts under one key above which the key is parted by the next band's value, and how often at most.
-KEY_SHINGLES, LEVELS = 2_000_000, 3
-#: Keys that are parted, at most: KEY_SHINGLES grows with the corpus so that there are no more (8 bytes each).
-HOT_KEYS = 2_000_000
+#: Texts under one key above which they are dealt to parts that meet in pairs.
+KEY_ROWS = 1 << 16
+#: Shingles of the texts of one part where those of a key are compared in full.
+KEY_SHINGLES = 250_000
 #: Rows that are looked around from at a time.
 SMALL = 32
 #: Bytes of shingle sets that one block of a group holds on average.
@@ -259,86 +259,57 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("keys").flatten().to_numpy().view(np.uint64).reshape(-1, BANDS)
 
 
-def _deeper(keys: np.ndarray, now: np.ndarray, level: int) -> np.ndarray:
-    """Keys of the next level: mixed with the band that lies level places on."""
-    out = (now ^ np.roll(keys, -level, axis=1)) * np.uint64(0x9E3779B97F4A7C15)
-    return out ^ (out >> np.uint64(29))
+def _hot_keys(reps: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted keys that more than KEY_ROWS texts have, and the number of parts of each.
 
+    A batch tells of the keys that it has twice or more; what it has once adds at most one row per batch to a group.
+    """
 
-def _known(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    if not len(sorted_keys):
-        return np.zeros(keys.shape, bool)
-    return sorted_keys[np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)] == keys
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k, times = np.unique(_matrix(batch), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(k[times > 1].view(np.int64)), pa.array(times[times > 1].astype(np.int64))], ["key", "n"])
 
-def _levelled(keys: np.ndarray, hot: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's key of each band, parted as often as it was hot; and how often."""
-    now, level = keys, np.zeros(keys.shape, np.int8)
-    for k, own in enumerate(hot):
-        met = (level == k) & _known(own, now)
-        if k + 1 < LEVELS:
-            now = np.where(met, _deeper(keys, now, k + 1), now)
-        level = level + met
-    return now, level
+    ship(reps.sparkSession)
+    sums = reps.select("keys").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") > KEY_ROWS)
+    found = sums.collect()  # one in KEY_ROWS of the keys at most
+    keys, n = np.array([r["key"] for r in found], np.int64).view(np.uint64), np.array([r["n"] for r in found], np.int64)
+    order = np.argsort(keys)
+    return keys[order], -(-n[order] // KEY_ROWS)
 
 
-def _hot_keys(reps: DataFrame) -> list[np.ndarray]:
-    """Per level the sorted keys with more than KEY_SHINGLES shingles.
+def _entries(reps: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """key, unit, nid, fp: each text under its keys.
 
-    A batch tells of the keys that it has twice or more; what it has once adds at most one row per batch to a group.
-    """
-    spark = reps.sparkSession
-    total = reps.agg(F.sum("n").alias("n")).first()["n"] or 0
-    most, hot = max(KEY_SHINGLES, -(-BANDS * total // HOT_KEYS)), []
-    for level in range(LEVELS):
-        sent = spark.sparkContext.broadcast(hot)  # HOT_KEYS longs a level
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent, level=level) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    keys, deep = _levelled(_matrix(batch), sent.value)
-                    own = np.repeat(batch.column("n").to_numpy(), BANDS)[(deep == level).ravel()]
-                    k, at, times = np.unique(keys[deep == level], return_inverse=True, return_counts=True)
-                    n = np.bincount(at, own, len(k)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(k[times > 1].view(np.int64)), pa.array(n[times > 1])], ["key", "n"])
-
-        sums = reps.select("keys", "n").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") > most)
-        found = np.array([r["key"] for r in sums.select("key").collect()], np.int64).view(np.uint64)  # HOT_KEYS at most
-        if not len(found):
-            break
-        hot.append(np.sort(found))
-    return hot
-
-
-def _entries(reps: DataFrame, hot: list[np.ndarray]) -> DataFrame:
-    """key, nid, fp, lead: each text under its keys.
-
-    Of texts under a key that is hot on all levels (they share the smallest values of LEVELS bands) one per batch stands for the
-    others, which have it as their lead under a key of their own.
+    Texts under a hot key are dealt to its parts, and there is a unit for each two parts, which has the texts of both:
+    any two texts under a key share a unit, and no unit has more than two parts.
     """
     ship(reps.sparkSession)
-    sent = reps.sparkSession.sparkContext.broadcast(hot)  # HOT_KEYS longs a level
+    sent = reps.sparkSession.sparkContext.broadcast(hot)  # one in KEY_ROWS of the keys at most, 16 bytes each
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot_keys, hot_parts = sent.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys, deep = _levelled(_matrix(batch), sent.value)
+            key = _matrix(batch).ravel()
             nid, fp = (np.repeat(batch.column(c).to_numpy(), BANDS) for c in ("nid", "fp"))
-            key, deep = keys.ravel(), deep.ravel()
-            lead = np.full(len(key), -1)
-            all_hot = np.nonzero(deep == LEVELS)[0]
-            if len(all_hot):
-                _, first, at = np.unique(key[all_hot], return_index=True, return_inverse=True)
-                lead[all_hot] = nid[all_hot[first[at]]]
-                lead[all_hot[first]] = -1
-            plain = lead < 0
-            # A text may have the same lead under several bands.
-            pair = np.unique(np.stack([lead[~plain], nid[~plain]], axis=1), axis=0) if not plain.all() else np.zeros((0, 2), np.int64)
-            columns = [np.concatenate(c) for c in zip((key[plain].view(np.int64), nid[plain], fp[plain], lead[plain]), (pair[:, 0], pair[:, 1], np.zeros(len(pair), np.int64), pair[:, 0]), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["key", "nid", "fp", "lead"])
-
-    return reps.select("nid", "fp", "keys").mapInArrow(run, "key long, nid long, fp long, lead long")
+            parts = np.ones(len(key), np.int64)
+            if len(hot_keys):
+                at = np.minimum(np.searchsorted(hot_keys, key), len(hot_keys) - 1)
+                parts = np.where(hot_keys[at] == key, hot_parts[at], 1)
+            mixed = nid.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            part = ((mixed ^ (mixed >> np.uint64(32))) % parts.view(np.uint64)).astype(np.int64)
+            yield _entry_batch(key, np.zeros(len(key), np.int64), nid, fp, parts == 1)
+            for other in range(int(parts.max())):
+                unit = (np.minimum(part, other) << 32) | np.maximum(part, other)
+                yield _entry_batch(key, unit, nid, fp, (other < parts) & (other != part) & (parts > 1))
+
+    return reps.select("nid", "fp", "keys").mapInArrow(run, "key long, unit long, nid long, fp long")
+
+
+def _entry_batch(key: np.ndarray, unit: np.ndarray, nid: np.ndarray, fp: np.ndarray, take: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c[take]) for c in (key.view(np.int64), unit, nid, fp)], ["key", "unit", "nid", "fp"])
 
 
 def _gathered(fp: np.ndarray, reach: int) -> np.ndarray:
@@ -355,8 +326,9 @@ def _gathered(fp: np.ndarray, reach: int) -> np.ndarray:
         while front and len(pool):
             rows, front = np.array(front[:SMALL]), front[SMALL:]
             met = np.zeros(len(pool), bool)
-            for at in range(0, len(pool), BLOCK):
-                part = pool[at : at + BLOCK]
+            wide = BLOCK * SMALL // len(rows)
+            for at in range(0, len(pool), wide):
+                part = pool[at : at + wide]
                 i, j = np.nonzero(np.abs(table[rows, None, 0] - table[None, part, 0]) <= reach)
                 for k in range(1, table.shape[1]):
                     near = np.abs(table[rows[i], k] - table[part[j], k]) <= reach
@@ -411,22 +383,24 @@ def _candidates(entries: DataFrame, reach: int) -> DataFrame:
     """nid and cc: texts that share keys and lie within reach of each other, directly or by others, have one cc."""
     ship(entries.sparkSession)
     n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = entries.filter("lead < 0").repartition(n, "key").sortWithinPartitions("key", "nid")
+    rows = entries.repartition(n, "key", "unit").sortWithinPartitions("key", "unit", "nid")
 
     def stars(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        _, nid, fp = columns
+        *_, nid, fp = columns
         lead = _gathered(fp.astype(np.int64).view(np.uint64), reach)
         other = lead != np.arange(len(lead))
         if other.any():
             yield _edges(nid[lead[other]], nid[other])
 
-    pairs = rows.mapInArrow(_groups(["key", "nid", "fp"], 1, stars), "a long, b long")
-    pairs = pairs.unionByName(entries.filter("lead >= 0").select(F.col("lead").alias("a"), F.col("nid").alias("b"))).distinct()
+    pairs = rows.mapInArrow(_groups(["key", "unit", "nid", "fp"], 2, stars), "a long, b long").distinct()
     return components(pairs).select(F.col("node").alias("nid"), F.col("root").alias("cc"))
 
 
-def linked(ids: np.ndarray, sets: list[np.ndarray], twentieths: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest (two arrays of ids) of the pairs of sets whose Jaccard similarity is at least twentieths / 20."""
+def linked(ids: np.ndarray, sets: list[np.ndarray], twentieths: int, asks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest (two arrays of ids) of the pairs of sets whose Jaccard similarity is at least twentieths / 20.
+
+    With asks, of the pairs that have at least one row for which it is true.
+    """
     sizes = np.array([len(s) for s in sets])
     flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(flat, kind="stable")
@@ -435,6 +409,8 @@ def linked(ids: np.ndarray, sets: list[np.ndarray], twentieths: int) -> tuple[np
     value, ends = flat[starts], np.append(starts[1:], len(flat))
     label, out = np.arange(len(sets)), []
     for r, own in enumerate(sets):
+        if asks is not None and not asks[r]:
+            continue
         at = np.searchsorted(value, own)
         first, n = starts[at], ends[at] - starts[at]
         first, n = first[n > 1], n[n > 1]
@@ -451,17 +427,40 @@ def linked(ids: np.ndarray, sets: list[np.ndarray], twentieths: int) -> tuple[np
 
 
 def _verified(sets: DataFrame, by: list[str], twentieths: int) -> DataFrame:
-    """a, b: a spanning forest of the links among the rows (*by, nid, s) of each group; by are longs."""
+    """a, b: a spanning forest of the links among the rows (*by, nid, s, and asks for linked()) of each group; by are longs."""
     n = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = sets.select(*by, "nid", "s").repartition(n, *by).sortWithinPartitions(*by, "nid")
+    names = [*by, "nid", "s", *(["asks"] if "asks" in sets.columns else [])]
+    rows = sets.select(*names).repartition(n, *by).sortWithinPartitions(*by, "nid")
 
     def compare(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        nid, packed = columns[-2:]
-        a, b = linked(nid, [np.frombuffer(x, np.uint64) for x in packed], twentieths)
+        nid, packed, *asks = columns[len(by) :]
+        a, b = linked(nid, [np.frombuffer(x, np.uint64) for x in packed], twentieths, *asks)
         if len(a):
             yield _edges(a, b)
 
-    return rows.mapInArrow(_groups([*by, "nid", "s"], len(by), compare), "a long, b long").distinct()
+    return rows.mapInArrow(_groups(names, len(by), compare), "a long, b long").distinct()
+
+
+def _meeting(reps: DataFrame, rest: DataFrame) -> DataFrame:
+    """key, i, j, nid, asks: units in which any two texts of rest (nid, label, n) that share a key but no label meet.
+
+    Under each key the texts of its largest label are dealt to parts, and those of its other labels (which ask) to
+    parts before these.  A unit has two parts, the first of them of texts that ask.  The largest label's
+    texts, which are linked already, don't meet each other, so the units grow with the texts of other labels.
+    """
+    under = reps.join(rest, "nid").select("nid", "label", "n", F.explode("keys").alias("key"))
+    sizes = under.groupBy("key", "label").agg(F.sum("n").alias("n"))
+    plan = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    parts = lambda n: F.ceil(n / KEY_SHINGLES).cast("long")
+    plan = plan.select("key", F.col("top.label").alias("top"), parts(F.col("n") - F.col("top.n")).alias("own"), parts(F.col("top.n")).alias("far"))
+    dealt = under.join(plan, "key").withColumn("asks", F.col("label") != F.col("top"))
+    dealt = dealt.withColumn("part", F.when(F.col("asks"), F.pmod(F.xxhash64("nid"), F.col("own"))).otherwise(F.col("own") + F.pmod(F.xxhash64("nid"), F.col("far"))))
+    zero, last, none = F.lit(0).cast("long"), F.col("own") + F.col("far") - 1, F.array().cast("array<struct<i:bigint,j:bigint,asks:boolean>>")
+    unit = lambda i, j, asks: F.struct(i.alias("i"), j.alias("j"), F.lit(asks).alias("asks"))
+    first = F.when(F.col("asks"), F.transform(F.sequence(F.col("part") + 1, last), lambda j: unit(F.col("part"), j, True))).otherwise(none)
+    upto = F.least("part", "own") - 1
+    second = F.when(upto >= 0, F.transform(F.sequence(zero, upto), lambda i: unit(i, F.col("part"), False))).otherwise(none)
+    return dealt.select("key", "nid", F.explode(F.concat(first, second)).alias("u")).select("key", "u.i", "u.j", "nid", "u.asks")
 
 
 def _digest(text_col: str) -> Column:
@@ -491,29 +490,23 @@ def _classed(docs: DataFrame, id_col: str, text_col: str, width: int, twentieths
     sketch = materialize(_sketches(docs, id_col, text_col, width), "sketches")
     folded = sketch.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("fp", "keys", "n")])
     reps = materialize(folded.withColumn("nid", F.monotonically_increasing_id()), "distinct-texts")
-    hot = _hot_keys(reps)
-    entries = _entries(reps, hot)
+    entries = _entries(reps, _hot_keys(reps))
     grouped = materialize(_candidates(entries, reach), "candidates").join(reps.select("nid", "doc_id", "digest", "n"), "nid")
     grouped = materialize(grouped, "candidate-texts")
     sizes = grouped.groupBy("cc").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("long").alias("blocks"))
-    placed = grouped.join(sizes, "cc").select("nid", "doc_id", "digest", "cc", "blocks", F.pmod(F.xxhash64("nid"), F.col("blocks")).alias("blk"))
+    placed = grouped.join(sizes, "cc").select("nid", "doc_id", "digest", "n", "cc", "blocks", F.pmod(F.xxhash64("nid"), F.col("blocks")).alias("blk"))
     sets = materialize(_shingled(docs, placed, id_col, text_col, width), "shingle-sets")
     # Block 0 goes to every other block, so each comes back about twice in all.
     first = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).when(F.col("blk") == 0, F.sequence(F.lit(1).cast("long"), F.greatest(F.col("blocks") - 1, F.lit(1)))).otherwise(F.array("blk"))
     edges = materialize(_verified(sets.select("cc", F.explode(first).alias("j"), "nid", "s"), ["cc", "j"], twentieths), "links")
     found = components(edges)
     # Groups of several blocks that still have several classes: texts of different classes meet under their keys.
-    label = sets.filter("blocks > 2").select("nid", "cc").distinct().join(found.withColumnRenamed("node", "nid"), "nid", "left").select("nid", "cc", F.coalesce("root", "nid").alias("label"))
+    label = sets.filter("blocks > 2").select("nid", "cc", "n").distinct().join(found.withColumnRenamed("node", "nid"), "nid", "left").select("nid", "cc", "n", F.coalesce("root", "nid").alias("label"))
     several = label.groupBy("cc").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("cc")
-    rest = materialize(label.join(several, "cc", "left_semi").select("nid", "label"), "open-texts")
+    rest = materialize(label.join(several, "cc", "left_semi").select("nid", "label", "n"), "open-texts")
     if not rest.isEmpty():
-        open_reps = reps.join(rest.select("nid"), "nid", "left_semi")
-        under = materialize(_entries(open_reps, hot).select("key", "nid"), "open-entries")
-        heads = under.select(F.col("key").alias("nid")).join(rest.select("nid"), "nid", "left_semi").distinct()
-        under = under.unionByName(heads.select(F.col("nid").alias("key"), "nid")).join(rest, "nid")  # a lead stands among those that have it
-        mixed = under.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-        meets = under.join(mixed, "key", "left_semi").select("key", "nid").join(sets.select("nid", "s"), "nid")
-        found = components(edges.unionByName(_verified(meets, ["key"], twentieths)))
+        meets = _meeting(reps.select("nid", "keys"), rest).join(sets.select("nid", "s"), "nid")
+        found = components(edges.unionByName(_verified(meets, ["key", "i", "j"], twentieths)))
     named = reps.select("nid", "digest", "doc_id").join(found.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
     tops = named.groupBy("root").agg(F.min(F.struct("doc_id", "digest")).alias("top"))
     label = named.select("digest", "root").join(tops, "root").select("digest", F.col("top.doc_id").alias("class_id"), F.col("top.digest").alias("class_digest"))
@@ -529,9 +522,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     discarded by pivot distances and fingerprints.  What hangs together after that is compared in full, on the
     shingle sets of whole texts, and gives a spanning forest of its links, never the pairs.
 
-    A key that very many texts share is parted by further bands, so no group grows with the corpus.  A group above
-    BLOCK_BYTES of sets is dealt out in blocks, each of which meets itself and the first one; where that
-    leaves several classes, texts of different classes meet under the keys they share.
+    Texts under a key that very many share are dealt to parts, which all meet in pairs: no group grows with the corpus
+    and no two texts under a key miss each other.  A group above BLOCK_BYTES of sets is dealt out in blocks, each of
+    which meets itself and the first one; where that leaves several classes, texts of different classes meet under
+    the keys they share, in pairs of parts too.
 
     Exact copies are folded first.  Rows that share an id but not a text are texts of their own; rows without an id are
     left out.  A null text is empty, and texts without words are alike.  An empty table gives no rows; further columns

@@ -110,3 +110,66 @@ def test_texts_of_one_id_are_kept(spark):
     assert one.columns == docs.columns and sorted(r["text"] for r in one.collect()) == sorted([prose(1, 80), prose(2, 80), prose(3, 80)])
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns and 5 <= mixed.count() <= 7  # 1.5 times four texts of one size
+
+
+def test_near_dedup_loses_no_link_under_hot_keys(spark, monkeypatch):
+    """Pairs of similar texts that share some keys only are found where all their keys are those of very many texts."""
+    from rankloom.llm import simhash
+
+    for limit in ("KEY_SHINGLES", "KEY_ROWS"):
+        monkeypatch.setattr(simhash, limit, 1, raising=False)
+    rows = []
+    for g in range(40):
+        base = [f"w{g}x{k}" for k in range(200)]
+        other = [f"y{k}" if k % 50 == 25 else w for k, w in enumerate(base)]  # 176 of 216 shingles are shared
+        rows += [(10 * g + i, " ".join(w), "en", "a", 1) for i, w in enumerate((base, other))]
+    want = near(rows)
+    assert len(set(want.values())) == 40
+    keys = {i: simhash.band_keys(simhash.shingle_set(t)) for i, t, *_ in rows}
+    assert all((keys[10 * g] == keys[10 * g + 1]).any() for g in range(40))
+    got = {r["doc_id"]: r["class_id"] for r in simhash.classes(frame(spark, rows).coalesce(1)).collect()}
+    assert got == want
+
+
+def test_near_dedup_of_many_classes_in_a_group(spark, monkeypatch):
+    """A group of many blocks and classes: what the first block doesn't link meets in parts of keys."""
+    from rankloom.llm import simhash
+
+    monkeypatch.setattr(simhash, "BLOCK_BYTES", 3000)
+    for limit, value in (("KEY_SHINGLES", 400), ("KEY_ROWS", 3)):
+        monkeypatch.setattr(simhash, limit, value, raising=False)
+    base, rows = prose(7, 200).split(), []
+    for c in range(40):
+        w = list(base)
+        for k in range(0, 200, 25):
+            w[(k + c) % 200] = f"c{c}x{k}"
+        for m in range(3):
+            v = list(w)
+            for k in (0, 100):
+                v[(k + c * 7 + 11 * m) % 200] = f"m{c}x{m}x{k}"
+            rows.append((10 * c + m, " ".join(v), "en", "a", 1))
+    want = near(rows)
+    assert 10 < len(set(want.values())) < 100
+    got = {r["doc_id"]: r["class_id"] for r in simhash.classes(frame(spark, rows), reach=64).collect()}
+    assert got == want
+
+
+def test_near_dedup_units_have_all_pairs(spark, monkeypatch):
+    """Any two texts that share a key but no label share a unit in which one of them asks, whatever the parts."""
+    import random
+
+    from rankloom.llm import simhash
+
+    monkeypatch.setattr(simhash, "KEY_SHINGLES", 20)
+    rng = random.Random(3)
+    texts = [(i, [rng.randrange(6) for _ in range(2)], rng.choice([1, 1, 1, 2, 3]), rng.randrange(1, 9)) for i in range(120)]
+    reps = spark.createDataFrame([(i, k) for i, k, *_ in texts], "nid long, keys array<long>")
+    rest = spark.createDataFrame([(i, x, n) for i, _, x, n in texts], "nid long, label long, n long")
+    units, met = collections.defaultdict(list), set()
+    for r in simhash._meeting(reps, rest).collect():
+        units[r["key"], r["i"], r["j"]].append((r["nid"], r["asks"]))
+    for held in units.values():
+        met |= {(a, b) for a, x in held for b, y in held if a < b and (x or y)}
+    assert {(a, b) for a, k, x, _ in texts for b, m, y, _ in texts if a < b and x != y and set(k) & set(m)} <= met
+    shingles = {i: n for i, _, _, n in texts}
+    assert len(units) > 30 and max(sum(shingles[i] for i, _ in held) for held in units.values()) < 200
