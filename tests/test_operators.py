@@ -364,3 +364,21 @@ def test_hot_entities_are_parted(spark):
     tops = sorted(set(rep.values()))
     want = {(a, b, len(sets[a] & sets[b]), round(len(sets[a] & sets[b]) / len(sets[a] | sets[b]), 9)) for a in tops for b in tops if a < b and sets[a] & sets[b]}
     assert found[0] == found[1] == (want, rep)
+
+
+def test_pairs_that_share_many_entities_are_made_once(spark, monkeypatch):
+    """Sets of common entities meet as blocks: no join makes a row for each entity of a pair, and links are those of all pairs."""
+    monkeypatch.setattr(graph, "LEAST", 8)
+    monkeypatch.setattr(graph, "WORDS", 7)
+    rng = np.random.default_rng(8)
+    sets = {f"n{n:03}": {f"e{x}" for x in rng.integers(0, 20, 12)} for n in range(90)}
+    df = spark.createDataFrame([(n, e) for n, s in sets.items() for e in s], "node string, entity string")
+    links, members = graph.entity_overlap(df)
+    rep = {n: min(m for m in sets if sets[m] == s) for n, s in sets.items()}
+    tops = sorted(set(rep.values()))
+    want = {(a, b, len(sets[a] & sets[b]), round(len(sets[a] & sets[b]) / len(sets[a] | sets[b]), 9)) for a in tops for b in tops if a < b and sets[a] & sets[b]}
+    rows = links.collect()
+    assert {(r["a"], r["b"], r["shared"], round(r["jaccard"], 9)) for r in rows} == want and len(rows) == len(want)
+    assert {r["node"]: r["rep"] for r in members.collect()} == rep
+    assert "Join" not in links._jdf.queryExecution().executedPlan().toString()
+    assert graph.entity_overlap(df.limit(0))[0].count() == 0
