@@ -12,11 +12,12 @@ from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rankloom.plans.shared import fresh_path
 
 #: Tasks of one plan.
-BRANCHES = 256
+BRANCHES = 64
 
 Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
@@ -29,8 +30,12 @@ def passes(tasks: Iterable[tuple[DataFrame, Run]], schema: str, tag: str) -> Dat
     tasks, path = iter(tasks), None
     spark = None
     while plans := [table.coalesce(1).mapInArrow(run, schema) for table, run in islice(tasks, BRANCHES)]:
-        own = reduce(DataFrame.unionByName, plans)
-        if path is None and len(plans) < BRANCHES:
+        n = len(plans)
+        plans.append(_apart(plans[0]))
+        while len(plans) > 1:  # in pairs, so that no plan is analysed once for each task beside it
+            plans = [reduce(DataFrame.unionByName, plans[i : i + 2]) for i in range(0, len(plans), 2)]
+        own = plans[0]
+        if path is None and n < BRANCHES:
             return own
         spark = own.sparkSession
         path = path or fresh_path(spark, tag)
@@ -38,6 +43,12 @@ def passes(tasks: Iterable[tuple[DataFrame, Run]], schema: str, tag: str) -> Dat
     return spark.read.schema(schema).parquet(path) if path else None
 
 
+def _apart(like: DataFrame) -> DataFrame:
+    """No rows, in two partitions: a union of single partitions alone would be one partition, and all its tasks one task."""
+    none = like.sparkSession.range(0, 2, 1, 2).filter("id < 0")
+    return none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema])
+
+
 def own_first(rows: Iterator, is_own: Callable[[object], bool], n_own: int) -> Iterator:
     """rows with the n_own of the own strip before all others; what comes earlier waits."""
     early, missing = [], n_own

@@ -406,3 +406,34 @@ def test_topk_holds_few_queries_at_a_time(spark, monkeypatch):
     sims = np.round(retrieval._unit(vecs) @ retrieval._unit(vecs[:3000]).T, 6).T
     np.fill_diagonal(sims, -2)
     assert np.allclose(np.sort(found.column(2).to_numpy().reshape(3000, 5), axis=1), np.sort(sims, axis=1)[:, -5:])
+
+
+def test_metrics_of_classes_pull_no_pairs(spark, monkeypatch, tmp_path):
+    """Ranks of whole classes: those of all pairs put in order, with equal vectors, null labels and zeros; only queries come to the driver."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from rankloom.operators import strips
+    from rankloom.plans import queries as plans
+
+    rng = np.random.default_rng(9)
+    vecs = np.round(rng.normal(size=(450, 4)), 1)
+    vecs[7], vecs[300] = 0, vecs[200]
+    labels = [None if i % 37 == 5 else int(i % 5) for i in range(450)]
+    spark.createDataFrame([(i, v.tolist(), c) for i, (v, c) in enumerate(zip(vecs, labels, strict=True))], "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    pulled, own = [], DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "toArrow", lambda df: pulled.append(t := own(df)) or t)
+    monkeypatch.setattr(retrieval, "WORTH", 0)
+    monkeypatch.setattr(retrieval, "HELD_BYTES", 4 * 900)
+    monkeypatch.setattr(retrieval, "PACKED", 50)
+    monkeypatch.setattr(strips, "BRANCHES", 2)
+    got = {r["q"]: r for r in plans.per_query(spark, str(tmp_path), hard=True).collect()}
+    v32 = vecs.astype(np.float32).astype(float)
+    unit = v32 / np.maximum(np.linalg.norm(v32, axis=1, keepdims=True), 1e-300)
+    assert sum(t.num_rows for t in pulled) <= 5 and sorted(got) == [0, 100, 200, 300, 400]
+    for q, r in got.items():
+        sims = np.round(unit @ unit[q], 6) + 0.0
+        order = sorted((i for i in range(450) if i != q), key=lambda i: (-sims[i], i))
+        pos, neg = ([n + 1 for n, i in enumerate(order) if labels[q] is not None and labels[i] == labels[q] + s] for s in (0, 1))
+        assert (r["n_pos"], r["first_positive_rank"], r["n_hn"], r["sum_hn_rank"], r["min_hn_rank"]) == (len(pos), pos[0], len(neg), sum(neg), min(neg, default=None))
+        assert math.isclose(r["map"], sum((i + 1) / p for i, p in enumerate(pos)) / len(pos))
+        assert math.isclose(r["ndcg_20"], sum(1 / math.log2(p + 1) for p in pos if p <= 20) / sum(1 / math.log2(i + 2) for i in range(20)))
