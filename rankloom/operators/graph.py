@@ -20,6 +20,8 @@ BLOCK = 1024
 PIVOTS = 64
 #: Blocks of a cell that meet others together, and holders of an entity that meet in one group.
 PART, HOLDERS = 256, 2048
+#: Meetings of a block up to which blocks of vectors meet by keys, and rows of a task's own strip, about.
+FEW_MEETINGS, STRIP = 4, 16384
 #: Sets of a block that are multiplied at a time, words of a product, and sets of a block at least (in small tables).
 ROWS, WORDS, LEAST = 256, 4096, 512
 #: Meetings by entities for each pair of sets from which blocks of sets meet instead.
@@ -133,14 +135,24 @@ def similarity_links(vectors: DataFrame, threshold: float) -> DataFrame:
     """id, n_links, class_id for every row of vectors (id, vec): links are cosines of at least threshold.
 
     Exact.  Blocks of vectors meet in pairs unless their directions lie too far apart for any link; each meeting
-    gives counts and a spanning forest of its links, never the pairs themselves.  The work is that of
-    all pairs of blocks that the angles can't rule out.
+    gives counts and a spanning forest of its links, never the pairs themselves.  Where the angles leave few meetings
+    (FEW_MEETINGS a block), they meet by equal keys; else each task takes a strip of the blocks and reads all further ones,
+    so that only rows with links leave a task.  The work is that of all pairs of blocks that the angles can't rule out.
     """
     blocks = _packed(vectors)
     angle = float(np.arccos(np.clip(threshold - 1e-6, -1, 1)))
-    meets = _meetings(blocks, angle)
+    meets = materialize(_meetings(blocks, angle), "block-pairs")
+    by_keys = meets.count() <= FEW_MEETINGS * blocks.count()
+    found = materialize(_met_by_keys(blocks, meets, threshold) if by_keys else _met_in_strips(blocks, threshold, angle), "links")
+    counts = found.groupBy("a").agg(F.sum("n").alias("n_links")).withColumnRenamed("a", "id")
+    roots = components(found.filter("a <> b")).withColumnRenamed("node", "id")
+    return counts.join(roots, "id", "left").select("id", "n_links", F.coalesce("root", "id").alias("class_id"))
+
+
+def _met_by_keys(blocks: DataFrame, meets: DataFrame, threshold: float) -> DataFrame:
+    """a, b, n: rows with another one that they hang together with (or themselves) and a part of their links."""
     side = lambda p: blocks.select(F.col("block").alias(p), F.col("ids").alias(f"i{p}"), F.col("m").alias(f"m{p}"))
-    work = materialize(meets, "block-pairs").repartition("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "ia", "ma", "ib", "mb")
+    work = meets.repartition("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "ia", "ma", "ib", "mb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,10 +168,96 @@ def similarity_links(vectors: DataFrame, threshold: float) -> DataFrame:
                 n = np.concatenate([near.sum(axis=1), np.zeros(len(ids_b), np.int64) if same else near.sum(axis=0)])
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(label), pa.array(n.astype(np.int64))], ["a", "b", "n"])
 
-    found = materialize(work.mapInArrow(run, "a long, b long, n long"), "links")
-    counts = found.groupBy("a").agg(F.sum("n").alias("n_links")).withColumnRenamed("a", "id")
-    roots = components(found.filter("a <> b")).withColumnRenamed("node", "id")
-    return counts.join(roots, "id", "left").select("id", "n_links", F.coalesce("root", "id").alias("class_id"))
+    return work.mapInArrow(run, "a long, b long, n long")
+
+
+def _met_in_strips(blocks: DataFrame, threshold: float, angle: float) -> DataFrame:
+    """_met_by_keys() of all pairs of blocks: a row of a strip leaves its task once, a further one once where it has links to the strip."""
+    spark = blocks.sparkSession
+    sizes = sorted((r["block"], r["n"]) for r in blocks.select("block", F.size("ids").alias("n")).collect())  # one for BLOCK rows or so
+    even = sum(n for _, n in sizes) / (4 * spark.sparkContext.defaultParallelism)
+    most = max(min(max(even, BLOCK), STRIP), sum(n for _, n in sizes) / strips.BRANCHES)
+
+    def tasks() -> Iterator[tuple[DataFrame, strips.Run]]:
+        own: list[int] = []
+        rows = 0
+        for block, n in sizes:
+            own.append(block)
+            rows += n
+            if rows >= most:
+                yield task(own[0], own[-1], len(own))
+                own, rows = [], 0
+        if own:
+            yield task(own[0], own[-1], len(own))
+
+    def task(lo: int, hi: int, count: int) -> tuple[DataFrame, strips.Run]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            read = lambda b, i: (b.column("block")[i].as_py(), b.column("ids")[i].values.to_numpy(), np.frombuffer(b.column("m")[i].as_buffer(), np.float64), b.column("center")[i].values.to_numpy(), b.column("radius")[i].as_py())
+            held: list[tuple] = []
+            every, links, root = (np.zeros(0, np.int64) for _ in range(3))  # the strip's ids, their links, and which of them hang together
+            for _, ids, m, center, radius in strips.own_first((read(b, i) for b in batches for i in range(b.num_rows)), lambda r: lo <= r[0] <= hi, count):
+                own, start, m = len(held) < count, len(root), m.reshape(len(ids), -1)
+                n, lead = np.zeros(len(ids), np.int64), np.full(len(ids), -1)
+                if own:
+                    every, links, root = np.concatenate([every, ids]), np.concatenate([links, n]), np.concatenate([root, np.arange(start, start + len(ids))])
+                for at, x, middle, reach in held:
+                    if np.arccos(np.clip(middle @ center, -1, 1)) > reach + radius + angle + 1e-6:
+                        continue
+                    i, j = _near(x, m, threshold)
+                    if len(i):
+                        links[at : at + len(x)] += np.bincount(i, minlength=len(x))
+                        n += np.bincount(j, minlength=len(ids))
+                        i = i + at
+                        if own:
+                            root = _merged(root, i, j + start)
+                        else:  # all rows of the strip that a further row is linked to hang together
+                            _, one, of = np.unique(j, return_index=True, return_inverse=True)
+                            first = np.where(lead[j] < 0, i[one][of], lead[j])
+                            root = _merged(root, i, first)
+                            lead[j] = first
+                if own:
+                    i, j = _near(m, m, threshold)
+                    links[start:] += n + np.bincount(i[i != j], minlength=len(ids))
+                    root = _merged(root, i + start, j + start)
+                    held.append((start, m, center, radius))
+                elif len(has := np.flatnonzero(n)):
+                    yield _rows(ids[has], every[lead[has]], n[has])
+            yield _rows(every, every[root], links)
+
+        return blocks.filter(F.col("block").between(lo, hi)).unionByName(blocks.filter(F.col("block") > hi)), run
+
+    found = strips.passes(tasks(), "a long, b long, n long", "strip-links")
+    return spark.createDataFrame([], "a long, b long, n long") if found is None else found
+
+
+def _rows(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n.astype(np.int64))], ["a", "b", "n"])
+
+
+def _merged(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """root (the smallest place of each class, at all places) after the classes of a and b are joined pair by pair."""
+    root = root.copy()
+    while len(a):
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        if (low == high).all():
+            break
+        np.minimum.at(root, high, low)
+        while (root != (up := root[root])).any():
+            root = up
+    return root
+
+
+def _near(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places i, j of the rows of two blocks of unit vectors whose rounded cosine reaches threshold.
+
+    Single precision rules out what lies below it by more than its error; the others are taken in double.
+    """
+    short = (x.shape[1] + 8) * 1.2e-7 + 2e-6
+    i, j = np.nonzero(x.astype(np.float32) @ y.astype(np.float32).T >= threshold - short)
+    if len(i) * 8 > len(x) * len(y):
+        return np.nonzero(np.round(x @ y.T, 6) >= threshold)
+    sure = np.concatenate([np.round(np.einsum("ij,ij->i", x[i[k : k + 65536]], y[j[k : k + 65536]]), 6) >= threshold for k in range(0, len(i), 65536)]) if len(i) else np.zeros(0, bool)
+    return i[sure], j[sure]
 
 
 def near_duplicate_flags(candidates: DataFrame, positives: DataFrame, vectors: DataFrame, threshold: float = 0.90) -> DataFrame:

@@ -463,3 +463,26 @@ def test_triplets_of_classes(spark, monkeypatch):
     assert "Generate" not in soft._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr(datasets, "LOOKUP", 10)
     assert rows_of(datasets.class_soft_triplets(queries, corpus, neg, 6, 20)) == rows_of(soft)
+
+
+def test_links_in_strips(spark, monkeypatch):
+    """Vectors of all directions: strips of blocks give the links and classes of all pairs, and no join makes pairs of blocks of them."""
+    from rankloom.operators import strips
+
+    monkeypatch.setattr(graph, "BLOCK", 8)
+    monkeypatch.setattr(graph, "STRIP", 40)
+    monkeypatch.setattr(graph, "FEW_MEETINGS", 0)
+    monkeypatch.setattr(strips, "BRANCHES", 3)
+    monkeypatch.setattr(graph, "_met_by_keys", None)
+    rng = np.random.default_rng(6)
+    vecs = np.concatenate([rng.normal(size=(250, 6)), np.repeat(rng.normal(size=(1, 6)), 90, axis=0), np.zeros((2, 6))])
+    df = spark.createDataFrame([(int(i) * 5 - 300, v.tolist()) for i, v in enumerate(rng.permutation(vecs))], "id long, vec array<double>")
+    rows = {r["id"]: np.array(r["vec"]) for r in df.collect()}
+    ids = np.array(sorted(rows))
+    unit = np.array([rows[i] / max(np.linalg.norm(rows[i]), 1e-300) for i in ids])
+    near = np.round(unit @ unit.T, 6) >= 0.8
+    np.fill_diagonal(near, False)
+    root = ids.copy()
+    for _ in ids:
+        root = np.minimum(root, np.where(near, root, 1 << 40).min(axis=1))
+    assert {r["id"]: (r["n_links"], r["class_id"]) for r in graph.similarity_links(df, 0.8).collect()} == {int(i): (int(n), int(c)) for i, n, c in zip(ids, near.sum(axis=1), root, strict=True)}
