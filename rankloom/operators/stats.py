@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from .datasets import hash_number
 from .store import number_pages
 
+#: Differences that go to every task.
+FEW = 1_000_000
+
 
 def paired(a: DataFrame, b: DataFrame) -> DataFrame:
     """pos, diff of two score tables (pos, query, score): by position where both have as many rows, else by query text.
@@ -50,5 +53,7 @@ def bootstrap_interval(pairs: DataFrame, n: int = 10_000, alpha: float = 0.05, s
     numbered = number_pages(pairs.select("pos", "diff", F.lit(0).alias("all")), "all", "pos", "at").select("diff", (F.col("at") - 1).cast("long").alias("at"))
     slots = pairs.sparkSession.range(rows).select(F.col("id").alias("j"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
     drawn = slots.select("i", F.pmod(hash_number("i", "j", F.lit(seed)), F.lit(max(rows, 1))).alias("at"))
-    means = drawn.join(numbered, "at").groupBy("i").agg(F.round(F.avg("diff"), 12).alias("m"))
+    # The draws look as small as the rows to the planner: they must never be the side that is broadcast.
+    both = drawn.join(F.broadcast(numbered), "at") if rows <= FEW else drawn.hint("merge").join(numbered.hint("merge"), "at")  # 16 bytes a row
+    means = both.groupBy("i").agg(F.round(F.avg("diff"), 12).alias("m"))
     return means.agg(F.percentile("m", alpha / 2).alias("ci_lower"), F.percentile("m", 1 - alpha / 2).alias("ci_upper"))

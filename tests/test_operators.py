@@ -486,3 +486,16 @@ def test_links_in_strips(spark, monkeypatch):
     for _ in ids:
         root = np.minimum(root, np.where(near, root, 1 << 40).min(axis=1))
     assert {r["id"]: (r["n_links"], r["class_id"]) for r in graph.similarity_links(df, 0.8).collect()} == {int(i): (int(n), int(c)) for i, n, c in zip(ids, near.sum(axis=1), root, strict=True)}
+
+
+def test_draws_of_the_bootstrap_are_not_broadcast(spark, monkeypatch):
+    """n draws for each row: whichever way they meet the rows, not as a broadcast of the draws."""
+    pairs = spark.createDataFrame([(i, float(i % 3)) for i in range(20)], "pos long, diff double")
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen, own = [], DataFrame.join
+    monkeypatch.setattr(DataFrame, "join", lambda a, b, on=None, how=None: seen.append(j := own(a, b, on, how)) or j)
+    small = stats.bootstrap_interval(pairs, 50).first()
+    assert "BuildRight" in seen[-1]._jdf.queryExecution().sparkPlan().toString().split("BroadcastHashJoin")[1].split("\n")[0]
+    monkeypatch.setattr(stats, "FEW", 5)
+    assert stats.bootstrap_interval(pairs, 50).first() == small
